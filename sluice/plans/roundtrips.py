@@ -1 +1,168 @@
-"""Round-trip queries through the sinks and back through the sources (registered in catalog)."""
+"""Round-trip queries: write a whole table through a sink, read it back through a source.
+
+Each call writes to a fresh folder under the cluster's shared checkpoint dir (never a
+machine-local temp dir); the returned frame reads what was written.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sluice.operators.documents import to_bulk_docs
+from sluice.operators.process import split_line
+from sluice.plans.catalog import query
+from sluice.plans.job import Source, Target, TransferJob
+from sluice.plans.tables import scratch_path, table
+from sluice.sinks.checksum import write_checksums
+from sluice.sinks.documents import write_bulk, write_documents
+from sluice.sinks.sequence import write_sequence
+from sluice.sinks.table import write_table
+from sluice.sinks.text import write_delimited
+from sluice.sources.inventory import file_inventory
+from sluice.sources.sequence import scan_sequence
+from sluice.sources.table import scan_table
+from sluice.sources.text import scan_delimited, scan_text
+
+CUSTOMER_TEXT = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+_CUSTOMER_TEXT_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+FROM customer
+"""
+
+
+@query("delimited_roundtrip", _CUSTOMER_TEXT_SQL)
+def q_delimited_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "delimited")
+    write_delimited(table(spark, sf_dir, "customer"), path, "\\001", cols=CUSTOMER_TEXT, compression="gzip")
+    return scan_delimited(spark, path, CUSTOMER_TEXT, "\\001")
+
+
+@query("charset_roundtrip", _CUSTOMER_TEXT_SQL)
+def q_charset_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "gbk")
+    write_delimited(table(spark, sf_dir, "customer"), path, "\\t", cols=CUSTOMER_TEXT, encode="GBK")
+    return scan_delimited(spark, path, CUSTOMER_TEXT, "\\t", encode="GBK")
+
+
+PART_FIELDS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+
+
+@query("sequence_roundtrip", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part
+""")
+def q_sequence_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "sequence")
+    write_sequence(table(spark, sf_dir, "part"), path, key_field="p_partkey", field_delim="\\t", cols=PART_FIELDS)
+    lines = scan_sequence(spark, path, ignore_key=False, field_delim="\\t")
+    return lines.transform(split_line(PART_FIELDS, "\\t"))
+
+
+@query("table_overwrite", """
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || '*' ELSE c_name END AS c_name,
+       c_nationkey, c_mktsegment
+FROM customer
+""")
+def q_table_overwrite(spark, sf_dir):
+    path = scratch_path(spark, "table")
+    cust = table(spark, sf_dir, "customer").select(*CUSTOMER_TEXT)
+    write_table(cust, path=path, partition_cols=["c_mktsegment"])
+    # overwrite exactly one partition; the other segments must survive untouched
+    building = scan_table(spark, path=path, partition="BUILDING", partition_cols=["c_mktsegment"])
+    changed = building.withColumn("c_name", F.concat("c_name", F.lit("*"))).drop("c_mktsegment")
+    write_table(_materialize(spark, changed), path=path, partition={"c_mktsegment": "BUILDING"})
+    return scan_table(spark, path=path).select(*CUSTOMER_TEXT)
+
+
+def _materialize(spark, df):
+    """Reading and overwriting one partition in the same job: cut the lineage first by
+    writing the new rows to the shared checkpoint area (a written table survives
+    executor loss, unlike cached blocks)."""
+    stage = scratch_path(spark, "stage")
+    df.write.mode("overwrite").parquet(stage)
+    return spark.read.parquet(stage)
+
+
+@query("table_partition_scan", """
+SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_mktsegment = 'MACHINERY'
+""")
+def q_table_partition_scan(spark, sf_dir):
+    path = scratch_path(spark, "table")
+    write_table(table(spark, sf_dir, "customer").select(*CUSTOMER_TEXT), path=path, partition_cols=["c_mktsegment"])
+    return scan_table(spark, path=path, partition="MACHINERY", partition_cols=["c_mktsegment"]) \
+        .select("c_custkey", "c_name", "c_nationkey")
+
+
+@query("bulk_docs_roundtrip", """
+WITH last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+                             FROM events) WHERE rn = 1)
+SELECT '{"index":{"_index":"events","_id":"' || CAST(user_id AS VARCHAR) || '"}}' AS value FROM last
+UNION ALL
+SELECT json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)::VARCHAR FROM last
+""")
+def q_bulk_docs_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "bulk")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    write_bulk(ev.transform(to_bulk_docs("events", id_col="user_id", order="event_id")), path)
+    return scan_text(spark, path)
+
+
+@query("documents_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def q_documents_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "docs")
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("c_custkey"), "c_name",
+        F.col("c_nationkey").cast("string").alias("c_nationkey"), "c_acctbal")
+    write_documents(cust, path, {"c_custkey": "long", "c_name": "string", "c_nationkey": "int",
+                                 "c_acctbal": "double"})
+    return spark.read.schema("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double").json(path)
+
+
+@query("checksum_sidecar", None)
+def q_checksum_sidecar(spark, sf_dir):
+    path = scratch_path(spark, "md5")
+    write_delimited(table(spark, sf_dir, "customer"), path, "\\001", cols=CUSTOMER_TEXT)
+    write_checksums(spark, path)
+    sidecars = scan_text(spark, path, name_glob="*.md5")
+    parts = F.split("value", " ")
+    return sidecars.select(parts.getItem(0).alias("md5"), parts.getItem(1).alias("name"))
+
+
+@query("file_inventory", None)
+def q_file_inventory(spark, sf_dir):
+    path = scratch_path(spark, "inventory")
+    write_sequence(table(spark, sf_dir, "part"), path + "/seq", key_field="p_partkey", cols=PART_FIELDS)
+    write_delimited(table(spark, sf_dir, "customer"), path + "/txt", cols=CUSTOMER_TEXT)
+    return file_inventory(spark, path).select(
+        F.regexp_extract("path", r"/(seq|txt)/", 1).alias("dir"), "length", "type")
+
+
+def _job_report(spark, sf_dir):
+    base = scratch_path(spark, "job")
+    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    orders = lambda s: table(spark, sf_dir, "orders").select(*cols)
+    job = TransferJob(
+        sources=[Source("1", lambda s: orders(s).filter(F.col("o_orderstatus") == "F")),
+                 Source("1", lambda s: orders(s).filter(F.col("o_orderstatus") != "F")),
+                 Source("2", lambda s: orders(s).filter(F.col("o_orderstatus") == "P"))],
+        targets=[Target("lines", "1", lambda d: write_delimited(d, base + "/lines", "|")),
+                 Target("table", "1,2", lambda d: write_table(d, path=base + "/table")),
+                 Target("dry", "2", lambda d: d.write.format("noop").mode("overwrite").save())],
+    )
+    return job.run(spark)
+
+
+@query("transfer_job", """
+WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority,
+                  length(concat_ws(chr(9), CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority)) AS len
+           FROM orders)
+SELECT 'lines' AS target, CAST(count(*) AS BIGINT) AS rows, CAST(sum(len) AS BIGINT) AS chars FROM o
+UNION ALL
+SELECT 'table', CAST(count(*) AS BIGINT), CAST(sum(len) AS BIGINT)
+FROM (SELECT * FROM o UNION ALL SELECT * FROM o WHERE o_orderstatus = 'P')
+UNION ALL
+SELECT 'dry', CAST(count(*) AS BIGINT), CAST(sum(len) AS BIGINT) FROM o WHERE o_orderstatus = 'P'
+""")
+def q_transfer_job(spark, sf_dir):
+    report = _job_report(spark, sf_dir)
+    rows = [(t.target, t.rows, t.chars) for t in report.targets]
+    return spark.createDataFrame(rows, "target string, rows bigint, chars bigint")
