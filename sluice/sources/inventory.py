@@ -72,7 +72,11 @@ def _types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_inventory(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``(path, length, modified, type)`` with type in sequence / rcfile / avro / text (empty) / unknown."""
+    """``(path, length, modified, type)`` with type in sequence / rcfile / avro / text (empty) / unknown.
+
+    Spark's file listing leaves out zero-length files (and ``_``/``.`` files), so an empty
+    file does not appear here; ``text`` is only reported for a file that reads back empty.
+    """
     files = list_files(spark, path, recursive)
     return files.mapInPandas(_types, "path string, length bigint, modified timestamp, type string")
 
