@@ -10,7 +10,9 @@ from the reference:
   a target may name several ids (``"1,2"``);
 * U2: one channel written to several targets is computed once -- it is persisted
   (memory + disk, so it spills instead of failing) for the duration of the writes and
-  released afterwards; a lost executor only costs recomputing its blocks;
+  released afterwards; a lost executor only costs recomputing its blocks. With
+  ``fanout="recompute"`` each target re-reads its sources instead: the better choice when
+  a channel is a cheap pruned scan and persisting it would double the disk traffic;
 * A1: each write carries an ``Observation`` with its rows and characters (no extra pass).
 """
 
@@ -52,6 +54,7 @@ class TransferJob:
     targets: list[Target]
     input_transforms: Sequence[Transform] = ()
     allow_missing_columns: bool = False
+    fanout: str = "persist"       # or "recompute"
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def channel_ids(self) -> list[str]:
@@ -86,7 +89,7 @@ class TransferJob:
         uses = {cid: sum(cid in [i.strip() for i in t.ids.split(",")] for t in self.targets) for cid in channels}
         cached = []
         for cid, df in channels.items():
-            if uses[cid] > 1:
+            if uses[cid] > 1 and self.fanout == "persist":
                 channels[cid] = df.persist(self.storage_level)
                 cached.append(channels[cid])
         try:
