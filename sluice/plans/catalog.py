@@ -50,7 +50,7 @@ SELECT json_object('event_id', CAST(event_id AS VARCHAR),
 FROM events WHERE event_type = 'purchase'
 """)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "events").transform(render_line("\\001", EVENT_LINE_FIELDS))
+    lines = table(spark, sf_dir, "events", spread_rows=True).transform(render_line("\\001", EVENT_LINE_FIELDS))
     return (lines
             .transform(P.split_line(EVENT_LINE_FIELDS, "\\001"))
             .transform(P.filter_row("event_type = 'purchase'"))
@@ -93,7 +93,7 @@ def q_filter_remove(spark, sf_dir):
 SELECT doc_id, regexp_replace(text, '([0-9]+)', '<\1>', 'g') AS text FROM documents
 """)
 def q_replace_field(spark, sf_dir):
-    return (table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
             .transform(P.replace_field("text", "([0-9]+)", "<$1>")))
 
 
@@ -124,7 +124,7 @@ SELECT '{"event_id":' || to_json(CAST(event_id AS VARCHAR))
 FROM events
 """)
 def q_line_to_json(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select(
+    ev = table(spark, sf_dir, "events", spread_rows=True).select(
         "event_id", "user_id",
         F.when(F.col("event_type") == "view", F.lit("\\N")).otherwise(F.col("event_type")).alias("kind"),
         F.when(F.col("event_type") == "click", F.lit("  ")).otherwise(F.concat(F.lit("u"), "user_id")).alias("who"))
@@ -202,7 +202,7 @@ FROM orders,
 """)
 def q_expand_template(spark, sf_dir):
     tpl = "dt=${time:yyyyMMdd,-1d}/part=${enum:0~3,2}/r${range:1,2,1,3}"
-    out = (table(spark, sf_dir, "orders")
+    out = (table(spark, sf_dir, "orders", spread_rows=True)
            .transform(expand_template(tpl, base="o_orderdate", keep=["o_orderkey"], with_position=True)))
     return out.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "value")
 
@@ -226,7 +226,7 @@ ROUND_SQL = {
                  CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(l_discount AS DECIMAL(4,2)) - 0.05) AS x
           FROM lineitem)""")
 def q_normalize_numeric(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread_rows=True)
     x = F.col("l_extendedprice").cast("decimal(12,2)") * (F.col("l_discount").cast("decimal(4,2)") - F.lit(0.05).cast("decimal(3,2)"))
     base = li.select("l_orderkey", "l_linenumber", x.alias("x"))
     return base.select("l_orderkey", "l_linenumber",
@@ -240,7 +240,7 @@ SELECT replace(concat_ws(chr(9), CAST(doc_id AS VARCHAR), replace(text, chr(9),
 FROM documents
 """)
 def q_render_line(spark, sf_dir):
-    return table(spark, sf_dir, "documents").transform(render_line("\\t", ["doc_id", "text", "lang", "source"]))
+    return table(spark, sf_dir, "documents", spread_rows=True).transform(render_line("\\t", ["doc_id", "text", "lang", "source"]))
 
 
 @query("render_line_typed", """
@@ -270,7 +270,7 @@ FROM (SELECT event_id,
       FROM events)
 """)
 def q_coerce_fields(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread_rows=True)
     et = F.col("event_type")
     raw = ev.select(
         "event_id",
@@ -444,3 +444,59 @@ def q_transfer_report(spark, sf_dir):
     lines = table(spark, sf_dir, "events").transform(
         render_line("|", EVENT_LINE_FIELDS, escape=False, keep=["event_type"]))
     return lines.transform(transfer_report(by="event_type", line_col="value"))
+
+
+# ---- SQL through the script source: windows, top-k, set operations --------------------
+
+# Top-k per group written so Spark can limit each group *before* the shuffle
+# (WindowGroupLimit: only rank-like functions in the window), and the per-group count as a
+# GROUP BY with map-side combine -- a customer holding a third of the orders never lands
+# whole in one task. A count(*) OVER in the same window would disable that limit.
+WINDOW_SCRIPT = r"""
+CREATE OR REPLACE TEMP VIEW top3 AS
+  SELECT o_custkey, o_orderkey, rk FROM (
+    SELECT o_custkey, o_orderkey,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
+    FROM orders) WHERE rk <= 3;
+CREATE OR REPLACE TEMP VIEW per_cust AS
+  SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey;
+SELECT t.o_custkey, t.o_orderkey, CAST(t.rk AS BIGINT) AS rk, CAST(p.n_orders AS BIGINT) AS n_orders
+FROM top3 t JOIN per_cust p ON t.o_custkey = p.o_custkey
+"""
+
+
+@query("scan_sql_window", """
+SELECT o_custkey, o_orderkey, CAST(rk AS BIGINT) AS rk, n_orders FROM (
+  SELECT o_custkey, o_orderkey, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk,
+         CAST(count(*) OVER (PARTITION BY o_custkey) AS BIGINT) AS n_orders
+  FROM orders) WHERE rk <= 3
+""")
+def q_scan_sql_window(spark, sf_dir):
+    register_views(spark, sf_dir, ["orders"])
+    return scan_sql(spark, WINDOW_SCRIPT)
+
+
+SETOPS_SCRIPT = """
+SELECT c_nationkey AS nationkey FROM customer EXCEPT SELECT s_nationkey FROM supplier;
+SELECT c_nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier
+"""
+
+
+@query("scan_sql_setops", """
+(SELECT c_nationkey AS nationkey FROM customer EXCEPT SELECT s_nationkey FROM supplier)
+UNION ALL
+(SELECT c_nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier)
+""")
+def q_scan_sql_setops(spark, sf_dir):
+    register_views(spark, sf_dir, ["customer", "supplier"])
+    return scan_sql(spark, SETOPS_SCRIPT)
+
+
+@query("shard_split", """
+SELECT CAST(o_orderkey % 8 AS INTEGER) AS shard, CAST(count(*) AS BIGINT) AS n_rows FROM orders GROUP BY 1
+""")
+def q_shard_split(spark, sf_dir):
+    from sluice.operators.shard import assign_shard
+    sharded = table(spark, sf_dir, "orders").transform(assign_shard(["o_orderkey"], 8, how="mod"))
+    return sharded.groupBy(F.col("shard").cast("int").alias("shard")).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
