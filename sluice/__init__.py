@@ -15,3 +15,21 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_with_tasks() -> None:
+    """Pickle sluice's task-side functions by value, so executors need no install.
+
+    ``mapInPandas`` / RDD functions defined in this package are otherwise pickled by
+    reference and fail on any worker where ``sluice`` is not importable.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_with_tasks()

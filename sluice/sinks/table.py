@@ -28,6 +28,8 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
     """
     if (name is None) == (path is None):
         raise ValueError("give exactly one of name= or path=")
+    if name is not None and not partition_cols and df.sparkSession.catalog.tableExists(name):
+        partition_cols = [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
     spec = dict(partition) if isinstance(partition, Mapping) else parse_partition_spec(partition, partition_cols)
     if null_token is not None:
         df = encode_nulls(df, [c for c in df.columns if c not in spec], null_token)
@@ -36,6 +38,8 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
     pcols = list(partition_cols) or list(spec)
     if name is not None:
         if df.sparkSession.catalog.tableExists(name):
+            # Hive tables take dynamic partition values only in non-strict mode
+            df.sparkSession.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
             cols = [c.name for c in df.sparkSession.catalog.listColumns(name)]
             (df.select(*cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
              .insertInto(name, overwrite=(mode == "overwrite")))

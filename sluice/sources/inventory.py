@@ -22,6 +22,8 @@ SEQ_MAGIC = b"SEQ"
 AVRO_MAGIC = b"Obj"
 RCFILE_MARK = b"hive"          # found at bytes 23..26 of an RCFile stored as a sequence file
 RCFILE_MARK_OFFSET = 23
+# current RCFile layout (what Hive writes today); the legacy rule above misses it
+RCFILE_MAGIC = b"RCF"
 HEADER_BYTES = 27
 # -------------------------------------------------------------------------------------
 
@@ -59,6 +61,8 @@ def classify_header(head: bytes) -> str:
         return "sequence"
     if head.startswith(AVRO_MAGIC):
         return "avro"
+    if head.startswith(RCFILE_MAGIC):
+        return "rcfile"
     return "unknown"
 
 

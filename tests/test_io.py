@@ -30,6 +30,7 @@ def test_magic_bytes():
     assert classify_header(b"SEQ\x06" + b"x" * 19 + b"hive") == "rcfile"
     assert classify_header(b"SEQ\x06org.apache.hadoop") == "sequence"
     assert classify_header(b"Obj\x01") == "avro"
+    assert classify_header(b"RCF\x01\x00\x00") == "rcfile"
     assert classify_header(b"") == "text"
     assert classify_header(b"hello") == "unknown"
 
