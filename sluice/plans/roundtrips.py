@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from sluice.operators.documents import to_bulk_docs
 from sluice.operators.process import split_line
+from sluice.plans import catalog
 from sluice.plans.catalog import query
 from sluice.plans.job import Source, Target, TransferJob
 from sluice.plans.tables import scratch_path, table
 from sluice.sinks.checksum import write_checksums
 from sluice.sinks.documents import write_bulk, write_documents
 from sluice.sinks.sequence import write_sequence
-from sluice.sinks.table import write_table
+from sluice.sinks.table import write_table, write_upsert
 from sluice.sinks.text import write_delimited
 from sluice.sources.inventory import file_inventory
 from sluice.sources.sequence import scan_sequence
@@ -166,3 +167,13 @@ def q_transfer_job(spark, sf_dir):
     report = _job_report(spark, sf_dir)
     rows = [(t.target, t.rows, t.chars) for t in report.targets]
     return spark.createDataFrame(rows, "target string, rows bigint, chars bigint")
+
+
+@query("upsert_table", catalog.REGISTRY["upsert_replace"][1])
+def q_upsert_table(spark, sf_dir):
+    """K6 as a sink: the existing rows live in a table; the merged table is read back."""
+    existing, incoming = catalog._upsert_inputs(spark, sf_dir)
+    path = scratch_path(spark, "upsert-table")
+    write_table(existing, path=path)
+    write_upsert(incoming, ["o_orderkey"], path=path, mode="replace", order="version")
+    return spark.read.parquet(path)

@@ -53,3 +53,38 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
     if pcols:
         w = w.partitionBy(*pcols)
     w.save(path)
+
+
+def write_upsert(incoming: DataFrame, keys: Sequence[str], name: str | None = None, path: str | None = None,
+                 fmt: str = "parquet", mode: str = "replace", order: Sequence[str] | str | None = None,
+                 partition_cols: Sequence[str] = (), stage: str | None = None) -> None:
+    """K6 as a sink: merge ``incoming`` into a table on ``keys`` and rewrite what changed.
+
+    With partition columns that are part of the key, only the partitions the incoming rows
+    touch are read, merged and overwritten (dynamic partition overwrite); otherwise the
+    whole table is rewritten. The merged rows are first written to ``stage`` (default:
+    a fresh folder under ``spark.checkpoint.dir``) because the job reads the table it
+    replaces -- a written stage survives executor loss, cached blocks would not.
+    """
+    from sluice.operators.upsert import upsert
+    from sluice.plans.tables import scratch_path
+
+    spark = incoming.sparkSession
+    if name is not None:
+        existing = spark.table(name)
+        if not partition_cols:
+            partition_cols = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    else:
+        existing = spark.read.format(fmt).load(path)
+    pcols = [c for c in partition_cols if c in keys]
+    if pcols and len(pcols) == len(partition_cols):
+        touched = incoming.select(*pcols).distinct()
+        existing = existing.join(touched, pcols, "left_semi")
+    merged = upsert(existing, incoming, keys, mode=mode, order=order)
+    stage = stage or scratch_path(spark, "upsert-stage")
+    merged.write.mode("overwrite").format("parquet").save(stage)
+    staged = spark.read.parquet(stage)
+    if name is not None:
+        write_table(staged, name=name)
+    else:
+        write_table(staged, path=path, fmt=fmt, partition_cols=partition_cols)

@@ -8,6 +8,7 @@ task pulling the whole result through one connection. Retries are Spark task ret
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,14 @@ def scan_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
               fetchsize: int | None = None, query_timeout: int | None = None, max_rows: int = 0,
               rename: Mapping[str, str] | None = None, properties: Mapping[str, str] | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
-              num_partitions: int | None = None) -> DataFrame:
-    """Read a JDBC query (or table) into a DataFrame with typed columns."""
+              num_partitions: int | None = None, max_retries: int = 3, retry_wait: float = 30.0) -> DataFrame:
+    """Read a JDBC query (or table) into a DataFrame with typed columns.
+
+    ``fetchsize="min"`` asks for a streamed result (cursor fetch, rows in small batches)
+    instead of materialising it in the driver of the database client. Connecting (schema
+    resolution on the driver) is retried ``max_retries`` times, ``retry_wait`` seconds apart;
+    the row reads themselves are Spark tasks and retried by Spark.
+    """
     reader = spark.read.format("jdbc").option("url", url)
     if partition_column:
         # partitioned reads need dbtable; wrap a query as a derived table
@@ -53,18 +60,34 @@ def scan_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
         reader = reader.option("dbtable", table)
     else:
         raise ValueError("query or table is required")
+    props = dict(properties or {})
+    if isinstance(fetchsize, str) and fetchsize.strip().lower() == "min":
+        fetchsize = 1000
+        props.setdefault("useCursorFetch", "true")
     for k, v in {"user": user, "password": password, "driver": driver, "fetchsize": fetchsize,
                  "queryTimeout": query_timeout}.items():
         if v is not None:
             reader = reader.option(k, str(v))
-    for k, v in (properties or {}).items():
+    for k, v in props.items():
         reader = reader.option(k, str(v))
-    df = reader.load()
+    df = _load_with_retries(reader, max_retries, retry_wait)
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     return df.transform(limit_rows(max_rows))
 
 
+def _load_with_retries(reader, max_retries: int, retry_wait: float) -> DataFrame:
+    attempt = 0
+    while True:
+        try:
+            return reader.load()
+        except Exception as e:  # connection / metadata errors surface here
+            attempt += 1
+            if attempt > max_retries or "AnalysisException" in type(e).__name__:
+                raise
+            time.sleep(retry_wait)
+
+
 def normalize_jdbc(df: DataFrame, scale: int = 2, rounding: str = "up", dates_as_text: bool = False) -> DataFrame:
     """S10a / S10b on a JDBC result: decimals rounded to ``scale``; optionally temporal
     columns rendered ``yyyy-MM-dd`` like the reference."""

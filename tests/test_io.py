@@ -129,3 +129,27 @@ def test_file_inventory(spark, outdir):
     got = {os.path.basename(r.path): r.type for r in file_inventory(spark, root).collect()}
     # Spark's file listing skips zero-length files, so c.txt never reaches the inventory.
     assert got == {"a.seq": "sequence", "b.avro": "avro", "d.bin": "unknown"}
+
+
+def test_write_upsert_rewrites_touched_partitions_only(spark, outdir):
+    from sluice.sinks.table import write_table, write_upsert
+    from sluice.sources.table import scan_table
+    base = spark.createDataFrame([("a", "d1", "v1"), ("b", "d1", "v1"), ("c", "d2", "v1")], "k string, dt string, v string")
+    path = outdir + "/up"
+    write_table(base, path=path, partition_cols=["dt"])
+    before_d2 = sorted(os.listdir(local(path) + "/dt=d2"))
+    inc = spark.createDataFrame([("b", "d1", "v2", 1), ("b", "d1", "v3", 2), ("z", "d1", "v1", 1)],
+                                "k string, dt string, v string, seq int")
+    write_upsert(inc, ["k", "dt"], path=path, mode="replace", order="seq", partition_cols=["dt"])
+    got = sorted(tuple(r) for r in scan_table(spark, path=path).select("k", "dt", "v").collect())
+    assert got == [("a", "d1", "v1"), ("b", "d1", "v3"), ("c", "d2", "v1"), ("z", "d1", "v1")]
+    assert sorted(os.listdir(local(path) + "/dt=d2")) == before_d2   # untouched partition kept its files
+
+
+def test_jdbc_retries_then_fails_fast_on_bad_url(spark):
+    import time
+    t0 = time.time()
+    with pytest.raises(Exception):
+        scan_jdbc(spark, "jdbc:derby:memory:nope_db", query="select 1 from sysibm.sysdummy1", max_retries=2,
+                  retry_wait=0.1)
+    assert time.time() - t0 < 60
