@@ -63,7 +63,7 @@ def parse_layout(families: str, columns: str) -> list[tuple[str, str]]:
 def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: str = "{family}_{qualifier}"):
     """Cells -> one row per row key with the listed family/qualifier columns in order.
 
-    Values have CR, LF and ``\\001`` removed. With ``as_line`` the row is rendered as the
+    Values have CR, LF and ``\\001`` removed. With ``as_line`` a ``value`` column adds the
     reference's text line: rowkey and values joined by ``\\001`` (missing cell = empty).
     """
     layout = parse_layout(families, columns)
@@ -78,7 +78,7 @@ def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: st
         if not as_line:
             return wide
         parts = [F.col("rowkey")] + [F.coalesce(F.col(c), F.lit("")) for c in wide.columns[1:]]
-        return wide.select("rowkey", F.concat_ws(CELL_JOIN, *parts).alias("value"))
+        return wide.withColumn("value", F.concat_ws(CELL_JOIN, *parts))
 
     return op
 

@@ -367,9 +367,7 @@ FROM customer
 """)
 def q_cells_to_rows(spark, sf_dir):
     cells = table(spark, sf_dir, "customer").transform(rows_to_cells(key_delim="-", **CELL_LAYOUT))
-    wide = cells.transform(cells_to_rows("data", "seg,nation,key"))
-    line = cells.transform(cells_to_rows("data", "seg,nation,key", as_line=True))
-    return wide.join(line, "rowkey")
+    return cells.transform(cells_to_rows("data", "seg,nation,key", as_line=True))
 
 
 @query("filter_day_range", """

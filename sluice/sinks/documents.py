@@ -16,8 +16,12 @@ from sluice.functions.coerce import cast_strict
 from sluice.operators.documents import bulk_lines
 
 
-def write_bulk(docs: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+def write_bulk(docs: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None,
+               max_actions: int | None = 10000) -> None:
+    """NDJSON bulk files of at most ``max_actions`` documents each (one bulk request per file)."""
     w = bulk_lines(docs).write.mode(mode)
+    if max_actions:
+        w = w.option("maxRecordsPerFile", str(max_actions))
     if compression:
         w = w.option("compression", compression)
     w.text(path)

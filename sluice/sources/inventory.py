@@ -42,14 +42,19 @@ def list_files(spark: SparkSession, path: str, recursive: bool = True, name_glob
                      F.col("modificationTime").alias("modified"))
 
 
-def _open(uri: str):
+def open_stream(uri: str, compression: str | None = None):
+    """Open a file by URI (local, HDFS, S3 ... through ``pyarrow.fs``), optionally decompressing."""
     from pyarrow import fs
 
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
-        return fs.LocalFileSystem().open_input_stream(unquote(parsed.path))
+        return fs.LocalFileSystem().open_input_stream(unquote(parsed.path), compression=compression)
     filesystem, p = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(p)
+    return filesystem.open_input_stream(p, compression=compression)
+
+
+def _open(uri: str):
+    return open_stream(uri)
 
 
 def classify_header(head: bytes) -> str:

@@ -153,3 +153,24 @@ def test_jdbc_retries_then_fails_fast_on_bad_url(spark):
         scan_jdbc(spark, "jdbc:derby:memory:nope_db", query="select 1 from sysibm.sysdummy1", max_retries=2,
                   retry_wait=0.1)
     assert time.time() - t0 < 60
+
+
+def test_codec_named_in_config(spark, outdir):
+    import bz2
+    import gzip
+    from sluice.sources.text import scan_codec
+    root = local(outdir) + "/codec"
+    os.makedirs(root, exist_ok=True)
+    lines = [f"row{i}\tvalue é {i}" for i in range(25000)]
+    with open(os.path.join(root, "data_000"), "wb") as f:            # no extension
+        f.write(gzip.compress(("\r\n".join(lines) + "\r\n").encode()))
+    with open(os.path.join(root, "data_001"), "wb") as f:
+        f.write(gzip.compress("last\tline".encode()))
+    got = scan_codec(spark, root, "org.apache.hadoop.io.compress.GzipCodec")
+    vals = [r.value for r in got.collect()]
+    assert len(vals) == 25001 and sorted(vals)[:2] == ["last\tline", "row0\tvalue é 0"]
+    broot = local(outdir) + "/codec_bz"
+    os.makedirs(broot, exist_ok=True)
+    with open(os.path.join(broot, "x"), "wb") as f:
+        f.write(bz2.compress(b"a\x01b\x7fc\x01d"))
+    assert [r.value for r in scan_codec(spark, broot, "bzip2", line_delim="\\u007f").collect()] == ["a\x01b", "c\x01d"]
