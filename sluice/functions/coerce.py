@@ -109,6 +109,26 @@ def null_token_to_null(c: Column | str, token: str = NULL_TOKEN) -> Column:
     return F.nullif(_c(c), F.lit(token))
 
 
+def decode_line_nulls(c: Column | str, field_delim: str = "\t", token: str = "NULL") -> Column:
+    """E12 on a whole text line: a field that is exactly ``NULL`` becomes empty.
+
+    The statement source's rule, for lines that are not split yet; the delimiter is
+    literal (any delimiter, not only tab).
+    """
+    from sluice.functions.delimiters import literal_regex, unescape_delim
+
+    d = literal_regex(unescape_delim(field_delim))
+    return F.regexp_replace(_c(c), f"(?<=^|{d}){literal_regex(token)}(?={d}|$)", "")
+
+
+def encode_line_nulls(c: Column | str, field_delim: str = "\t", token: str = NULL_TOKEN) -> Column:
+    """E12 on a whole text line: every empty field becomes ``\\N`` (table / bulk-load sinks)."""
+    from sluice.functions.delimiters import literal_regex, unescape_delim
+
+    d = literal_regex(unescape_delim(field_delim))
+    return F.regexp_replace(_c(c), f"(?<=^|{d})(?={d}|$)", token.replace("\\", "\\\\"))
+
+
 def encode_nulls(df: DataFrame, cols: Sequence[str] | None = None, token: str = NULL_TOKEN) -> DataFrame:
     return df.withColumns({c: encode_null(c, token) for c in (cols or df.columns)})
 
