@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import line_dedup, minhash, pii, quality
+import corpus_pipeline
+from sluice.llm import chat, html, line_dedup, minhash, nearest, packing, pieces, pii, quality, token_files
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +22,38 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents")).drop("rule")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +108,44 @@ FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_
 GROUP BY d.doc_id
 """
 
+OP2_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(c.e, q.e) / (c.norm * q.norm) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+"""
+
+OP9_SQL = r"""
+WITH said AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), rendered AS (
+  SELECT s.conv_id, p.role AS perspective, coalesce(CAST(floor(turn / 64) AS BIGINT), -1) AS segment, turn, s.role, text,
+         s.role <> 'system' AND s.role = p.role AS mine,
+         CASE WHEN s.role = 'system' THEN '<|im_start|>system' WHEN s.role = p.role THEN '<|im_start|>assistant'
+              ELSE '<|im_start|>user name=' || replace(s.role, '<|', '< |') END || chr(10) AS head,
+         replace(text, '<|', '< |') || '<|im_end|>' AS body
+  FROM said s JOIN (SELECT DISTINCT conv_id, role FROM said WHERE role <> 'system') p ON p.conv_id = s.conv_id
+), placed AS (
+  SELECT *, CAST(sum(length(head) + length(body) + 1) OVER w AS BIGINT) - length(body) - 1 AS s,
+         row_number() OVER w AS k
+  FROM rendered WINDOW w AS (PARTITION BY conv_id, perspective, segment ORDER BY turn NULLS FIRST, role, text
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT conv_id, perspective, segment, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY k) AS text,
+       coalesce(string_agg(s || '-' || (s + length(body)), ',' ORDER BY k) FILTER (WHERE mine), '') AS mask,
+       coalesce(CAST(sum(length(body)) FILTER (WHERE mine) AS BIGINT), 0) AS n_masked
+FROM placed GROUP BY conv_id, perspective, segment
+"""
+
 OP8_SQL = r"""
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -113,7 +177,14 @@ FROM failed
 
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_minhash_dedup": (op1_minhash_dedup, OP1_SQL),
+    "op2_nearest_neighbours": (op2_nearest_neighbours, OP2_SQL),
     "op3_pii": (op3_pii, None),
+    "op4_html_text": (op4_html_text, None),
+    "op5_best_fit_packing": (op5_best_fit_packing, None),
+    "op6_sentencepiece": (op6_sentencepiece, None),
+    "op7_token_files": (op7_token_files, None),
     "op8_quality_rules": (op8_quality_rules, OP8_SQL),
+    "op9_chat_format": (op9_chat_format, OP9_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
