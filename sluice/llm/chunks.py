@@ -11,10 +11,21 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import tokenizers
 from tokenizers import Tokenizer
 
 KEEP = 400_000
-_LOADED: dict[tuple[str, str], "ChunkEncoder"] = {}
+
+
+def worker_cache() -> dict:
+    """One dictionary per Python process.
+
+    Task functions of this package are shipped by value, so their own globals are new in every task;
+    the library's module is the same for all tasks of a worker.
+    """
+    return tokenizers.__dict__.setdefault("_sluice_encoders", {})
+
+
 #: white space before a space: such texts are cut by the slower pattern
 _RUN = re.compile(r"\s\x20")
 _CUT = re.compile(r"(?<=\S)(?=\x20)")
@@ -31,9 +42,10 @@ class ChunkEncoder:
     @classmethod
     def of(cls, path: str, kind: str) -> "ChunkEncoder":
         """The worker's own encoder for a tokenizer file; it lives as long as the Python worker."""
-        if (path, kind) not in _LOADED:
-            _LOADED[path, kind] = cls(Tokenizer.from_file(path), kind)
-        return _LOADED[path, kind]
+        loaded = worker_cache()
+        if (path, kind) not in loaded:
+            loaded[path, kind] = cls(Tokenizer.from_file(path), kind)
+        return loaded[path, kind]
 
     def pieces(self, text: str) -> list[str]:
         if self.kind == "plain":

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from sluice.llm.chunks import ChunkEncoder
+from sluice.llm.chunks import ChunkEncoder, worker_cache
 from sluice.llm.frames import documents_view
 
 MARK = "▁"
@@ -131,8 +131,6 @@ def build_tokenizer(model: PieceModel) -> Tokenizer:
 class PieceEncoder:
     """Batch encoder and decoder of one model file."""
 
-    _loaded: dict[str, "PieceEncoder"] = {}
-
     def __init__(self, path: str):
         self.path, self.model = path, read_model(path)
         self.tokenizer = build_tokenizer(self.model)
@@ -140,9 +138,10 @@ class PieceEncoder:
 
     @classmethod
     def of(cls, path: str) -> "PieceEncoder":
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        loaded = worker_cache()
+        if path not in loaded:
+            loaded[path] = cls(path)
+        return loaded[path]
 
     def encode(self, texts: list[str]):
         """Yield the ids of each text."""

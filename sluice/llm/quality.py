@@ -23,10 +23,11 @@ SAMPLE = 500
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_repeat_words", "n_word_kinds")
 
 
 def measured(view: DataFrame) -> DataFrame:
-    """``doc_id, text`` plus ``words`` and the base measures of the whole text.
+    """The view's columns plus the measures of the whole text.
 
     Repeated windows are found by sorting their hashes, so a text of ``n`` words costs
     ``n log n``; the sort runs only for texts in which a window does repeat.
@@ -52,8 +53,12 @@ def measured(view: DataFrame) -> DataFrame:
     frame = frame.withColumn("places", F.sort_array(F.filter(F.transform("pairs", twice), lambda x: x.isNotNull())))
     gaps = F.transform("places", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get("places", j + 1) - p, F.lit(WINDOW))))
     covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
-    return (frame.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-            .select(*view.columns, "words", "n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_repeat_words"))
+    frame = frame.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")) \
+        .withColumn("n_word_kinds", F.size(F.array_distinct("words")).cast("long"))
+    # Exploding one struct keeps the measures where they are: the optimiser would otherwise copy them
+    # into every filter and rule that uses them, and so into the functions over array elements.
+    return frame.select(*view.columns, F.explode(F.array(F.struct(*MEASURES))).alias("measure")) \
+        .select(*view.columns, *[F.col(f"measure.{m}") for m in MEASURES])
 
 
 def base_rules() -> dict[str, Column]:
@@ -65,7 +70,7 @@ def extra_rules() -> dict[str, Column]:
     """Rules for junk: markup debris, copied lines, odd word lengths, shouting, word salad."""
     shouts = F.char_length("text") - F.char_length(F.translate("text", "!", ""))
     letters = F.col("text").rlike(r"\p{L}")
-    few_kinds = (F.col("n_words") >= 50) & (10 * F.size(F.array_distinct("words")) < F.col("n_words"))
+    few_kinds = (F.col("n_words") >= 50) & (10 * F.col("n_word_kinds") < F.col("n_words"))
     return {
         "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
         "dup_lines": 2 * F.col("n_dup_lines") > F.col("n_text_lines"),
@@ -108,8 +113,8 @@ def judged(view: DataFrame) -> DataFrame:
     base, extra = base_rules(), extra_rules()
     order = cascade_order(frame, extra)
     failed = base["few_words"] | base["repeats"]
-    return frame.withColumn("base_failed", failed).withColumn("rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(verdict(frame, extra, order))) \
-        .withColumn("kept", F.col("rule").isNull())
+    rule = F.when(failed, F.lit("base")).otherwise(verdict(frame, extra, order))
+    return frame.withColumn("base_failed", failed).withColumn("rule", rule).withColumn("kept", F.col("rule").isNull())
 
 
 def quality(docs: DataFrame) -> DataFrame:

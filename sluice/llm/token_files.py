@@ -34,7 +34,7 @@ from sluice.llm.chunks import ChunkEncoder
 from sluice.llm.frames import documents_view, scratch_dir, store
 
 MAGIC = b"SLTOK\x001\n"
-HEADER = struct.Struct("<8sIIQQQqq")
+HEADER = "<8sIIQQQqq"
 BLOCK = 4096
 SHARD = 4_000_000
 NO_ID = -(1 << 63)
@@ -65,7 +65,7 @@ def shard_bytes(docs: list[int | None], ids: list[np.ndarray], bits: int, part:
     index[:, 0] = np.array([NO_ID if d is None else d for d in docs], "<i8").view("<u8")
     index[:, 1], index[:, 2] = np.cumsum(sizes) - sizes, sizes
     offsets = np.cumsum([0, *map(len, blocks)]).astype("<u8")
-    head = HEADER.pack(MAGIC, bits, BLOCK, len(flat), len(docs), len(blocks), part, shard)
+    head = struct.pack(HEADER, MAGIC, bits, BLOCK, len(flat), len(docs), len(blocks), part, shard)
     return b"".join([head, index.tobytes(), offsets.tobytes(), *blocks])
 
 
@@ -73,10 +73,10 @@ class Shard:
     """Random access to a shard file's bytes."""
 
     def __init__(self, data: bytes):
-        magic, self.bits, self.block, self.n_ids, n_docs, n_blocks, self.part, self.shard = HEADER.unpack_from(data)
+        magic, self.bits, self.block, self.n_ids, n_docs, n_blocks, self.part, self.shard = struct.unpack_from(HEADER, data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
-        at = HEADER.size
+        at = struct.calcsize(HEADER)
         index = np.frombuffer(data, "<u8", 3 * n_docs, at).reshape(-1, 3)
         self.docs, self.first, self.sizes = index[:, 0].view("<i8") if n_docs else index[:, 0], index[:, 1].astype(np.int64), index[:, 2].astype(np.int64)
         at += 24 * n_docs
