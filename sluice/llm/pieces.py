@@ -15,7 +15,6 @@ a model that keeps white space this is the text itself.
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -134,7 +133,7 @@ class PieceEncoder:
     def __init__(self, path: str):
         self.path, self.model = path, read_model(path)
         self.tokenizer = build_tokenizer(self.model)
-        self.chunks = None if self.model.inner_mark else ChunkEncoder(self.tokenizer)
+        self.chunks = None if self.model.inner_mark else ChunkEncoder(self.tokenizer, threads=True)
 
     @classmethod
     def of(cls, path: str) -> "PieceEncoder":
@@ -208,7 +207,6 @@ def round_trip_digest(docs: DataFrame, path: str) -> DataFrame:
     import hashlib
 
     def run(batches):
-        os.environ.setdefault("RAYON_NUM_THREADS", str(os.cpu_count() or 1))
         encoder, checked = PieceEncoder.of(path), False
         is_byte = np.array([t == BYTE for _, _, t in encoder.model.pieces])
         for batch in batches:
