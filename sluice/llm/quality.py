@@ -70,7 +70,8 @@ def extra_rules() -> dict[str, Column]:
     """Rules for junk: markup debris, copied lines, odd word lengths, shouting, word salad."""
     shouts = F.char_length("text") - F.char_length(F.translate("text", "!", ""))
     letters = F.col("text").rlike(r"\p{L}")
-    few_kinds = (F.col("n_words") >= 50) & (10 * F.col("n_word_kinds") < F.col("n_words"))
+    # the kinds of words grow about as the square root of a text's length, so long texts aren't poor
+    few_kinds = (F.col("n_words") >= 50) & (F.col("n_word_kinds") * F.col("n_word_kinds") < 4 * F.col("n_words"))
     return {
         "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
         "dup_lines": 2 * F.col("n_dup_lines") > F.col("n_text_lines"),

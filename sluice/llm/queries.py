@@ -171,7 +171,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_
             OR word_chars < 2 * n_words OR word_chars > 16 * n_words
             OR 5 * (length(text) - length(replace(text, '!', ''))) > n_words
             OR NOT regexp_matches(text, '\p{L}')
-            OR (n_words >= 50 AND 10 * len(list_distinct(w)) < n_words)) AS kept
+            OR (n_words >= 50 AND len(list_distinct(w)) * len(list_distinct(w)) < 4 * n_words)) AS kept
 FROM failed
 """
 
