@@ -11,6 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---- fixed values (must equal the reference's rules) --------------------------------
 ROUNDING_MODES = ("ceiling", "down", "floor", "halfdown", "halfeven", "halfup", "unnecessary", "up")
@@ -72,7 +73,10 @@ def normalize_numeric(df: DataFrame, cols: Sequence[str], scale: int = DEFAULT_S
         if scale < 0:
             out[c] = F.col(c).cast("string")
         else:
-            out[c] = round_decimal(F.col(c).cast(f"decimal({precision},{max(scale, 6)})"), scale, mode) \
+            kind = df.schema[c].dataType
+            # a decimal keeps all its digits, or directed modes would round twice
+            own = kind.scale if isinstance(kind, T.DecimalType) else 18
+            out[c] = round_decimal(F.col(c).cast(f"decimal(38,{max(scale, own)})"), scale, mode) \
                 .cast(f"decimal({precision},{scale})")
     return df.withColumns(out)
 

@@ -60,11 +60,12 @@ def parse_layout(families: str, columns: str) -> list[tuple[str, str]]:
     return [(f, q.strip()) for f, g in zip(fams, groups) for q in g.split(",") if q.strip()]
 
 
-def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: str = "{family}_{qualifier}"):
+def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: str = "{family}_{qualifier}",
+                  ts_col: str | None = None):
     """Cells -> one row per row key with the listed family/qualifier columns in order.
 
     Values have CR, LF and ``\\001`` removed. With ``as_line`` a ``value`` column adds the
-    reference's text line: rowkey and values joined by ``\\001`` (missing cell = empty).
+    text line: rowkey and values joined by ``\\001`` (missing cell = empty).
     """
     layout = parse_layout(families, columns)
 
@@ -72,7 +73,11 @@ def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: st
         aggs = []
         for fam, q in layout:
             hit = (F.col("family") == F.lit(fam)) & (F.col("qualifier") == F.lit(q))
-            v = F.max(F.when(hit, F.translate(F.col("value").cast("string"), CELL_STRIP, "")))
+            text = F.translate(F.col("value").cast("string"), CELL_STRIP, "")
+            if ts_col:
+                v = F.max_by(text, F.when(hit, F.struct(ts_col, text)))
+            else:
+                v = F.max(F.when(hit, text))
             aggs.append(v.alias(naming.format(family=fam, qualifier=q)))
         wide = cells.groupBy("rowkey").agg(*aggs)
         if not as_line:

@@ -1,9 +1,9 @@
 """K9: bulk-index documents as NDJSON (action line + document line per row).
 
 An optional id column gives each document its ``_id``; rows sharing an id keep only the
-last one by ``order`` (what repeated index requests leave in the index). That
-de-duplication is a hash aggregate with map-side combine, so a hot id does not gather
-all its rows in one task. Without an id every row is its own document and no shuffle
+last one by ``order`` (what repeated index requests leave in the index). A row with a NULL id is
+a document of its own, without ``_id``. The de-duplication combines map-side, so a hot id does
+not gather all its rows in one task. Without an id every row is its own document and no shuffle
 happens.
 """
 

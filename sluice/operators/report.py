@@ -11,12 +11,16 @@ Two forms:
 
 from __future__ import annotations
 
+import threading
 import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+# how long after a sink has returned its metrics may take to arrive
+OBSERVED_WITHIN = 60.0
+
 
 def _line_length(df: DataFrame, col: str | None) -> Column:
     if col is not None:
@@ -34,6 +38,21 @@ def observe_transfer(df: DataFrame, name: str, line_col: str | None = None) -> t
     return observed, obs
 
 
+def observed_metrics(obs: Observation, name: str, seconds: float = OBSERVED_WITHIN) -> dict:
+    """The observation's metrics; fails if no DataFrame action on the frame delivers them in time.
+
+    A sink that leaves DataFrame execution (``.rdd``) or writes nothing never completes an
+    observation, and ``Observation.get`` would wait for it forever.
+    """
+    found: list[dict] = []
+    waiter = threading.Thread(target=lambda: found.append(obs.get), daemon=True)
+    waiter.start()
+    waiter.join(seconds)
+    if not found:
+        raise RuntimeError(f"target {name!r}: its sink ran no DataFrame action on the frame it was given, so nothing was counted")
+    return found[0]
+
+
 def transfer_report(by: str | None = None, line_col: str | None = None):
     """Rows and characters per ``by`` value (or in total) as a DataFrame."""
 

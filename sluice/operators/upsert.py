@@ -8,9 +8,10 @@ no file order in Spark): last wins for ``replace``, first wins for ``ignore``.
 
 Plan shape, designed for two large inputs:
 
-* de-duplication is a hash aggregate ``max/min(struct(order, *cols))`` grouped by key, not a
-  window: it combines map-side before the shuffle, so a hot key that holds a third of the
-  rows is collapsed per task instead of landing whole in one task;
+* de-duplication is an aggregate ``max/min(struct(order, *cols))`` grouped by key, not a window.
+  Spark runs it sort-based (a struct is no mutable buffer), partial before the shuffle, so a hot
+  key that holds a third of the rows is collapsed per task instead of landing whole in one task;
+* a NULL key equals no other key: rows with a NULL in any key column are all kept;
 * the key match is one ``left_anti`` join. After de-duplication each side has unique keys,
   so the join cannot explode or skew; AQE turns it into a broadcast join at run time when
   one side is measured small (no unchecked ``broadcast()``);
@@ -20,19 +21,25 @@ Plan shape, designed for two large inputs:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str, keep: str = "last") -> DataFrame:
-    """One row per key: the row with the greatest (``last``) or least (``first``) order value."""
+    """One row per key: the row with the greatest (``last``) or least (``first``) order value.
+
+    A unique key does not equate NULLs: every row with a NULL key column stays.
+    """
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                       *[F.col(c) for c in rest])
     pick = F.max(packed) if keep == "last" else F.min(packed)
-    out = df.groupBy(*keys).agg(pick.alias("__row"))
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = df.withColumn("__apart", F.when(nameless, F.monotonically_increasing_id()))
+    out = apart.groupBy(*keys, "__apart").agg(pick.alias("__row"))
     return out.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in rest]) \
         .select(*df.columns)
 

@@ -18,7 +18,7 @@ ERRORS = "_errors"
 def _rule_fails(c: Column, rtype: str, expr: str) -> Column:
     rtype = rtype.lower()
     if rtype == "regex":
-        return c.isNull() | ~c.cast("string").rlike("^(?:" + expr + ")$")
+        return c.isNull() | ~c.cast("string").rlike(r"\A(?:" + expr + r")\z")
     if rtype == "range":
         lo, _, hi = expr.partition(",")
         v = c.cast("string").try_cast("double")

@@ -8,11 +8,9 @@ from the reference:
   feeds every channel;
 * P11: input processors run once for all rows of a channel, then each target's own list;
   a target may name several ids (``"1,2"``);
-* U2: one channel written to several targets is computed once -- it is persisted
-  (memory + disk, so it spills instead of failing) for the duration of the writes and
-  released afterwards; a lost executor only costs recomputing its blocks. With
-  ``fanout="recompute"`` each target re-reads its sources instead: the better choice when
-  a channel is a cheap pruned scan and persisting it would double the disk traffic;
+* U2: a channel that several targets share is read again by each of them, which a pruned
+  scan and narrow steps make cheap. With ``fanout="persist"`` it is computed once and kept
+  (memory + disk) for the duration of the writes: for channels that are dear to compute;
 * A1: each write carries an ``Observation`` with its rows and characters (no extra pass).
 """
 
@@ -26,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.operators.process import chain, union_sources
-from sluice.operators.report import Report, TargetStats, observe_transfer
+from sluice.operators.report import Report, TargetStats, observe_transfer, observed_metrics
 
 ALL = "ALL"
 Transform = Callable[[DataFrame], DataFrame]
@@ -54,7 +52,7 @@ class TransferJob:
     targets: list[Target]
     input_transforms: Sequence[Transform] = ()
     allow_missing_columns: bool = False
-    fanout: str = "persist"       # or "recompute"
+    fanout: str = "recompute"     # or "persist"
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def channel_ids(self) -> list[str]:
@@ -101,7 +99,7 @@ class TransferJob:
                 t0 = time.time()
                 t.sink(observed)
                 secs = time.time() - t0
-                m = obs.get
+                m = observed_metrics(obs, t.name)
                 report.targets.append(TargetStats(t.name, int(m.get("rows", 0)), int(m.get("chars", 0)), secs))
         finally:
             for df in cached:

@@ -13,23 +13,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if spread_rows else df
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-bound row work every core when the input is under-split.
-
-    A scan yields one task per file split; a single-row-group Parquet file or an
-    unsplittable ``.gz`` gives one task, leaving the cluster idle for the per-row work
-    after it. Only then is one round-robin repartition added; an input that already has
-    enough splits (any large dataset) is returned untouched, with no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
@@ -40,6 +25,15 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint dir (never a machine-local temp)."""
-    base = checkpoint_dir(spark, default="/tmp/sluice-checkpoints")
+    """A fresh folder under the cluster's shared checkpoint dir.
+
+    A session without one (a local run) gets a folder in the warehouse, which is shared as well.
+    """
+    base = checkpoint_dir(spark, default=os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"))
     return os.path.join(base, "sluice-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

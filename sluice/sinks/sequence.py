@@ -30,6 +30,8 @@ CODECS = {
 def write_sequence(df: DataFrame, path: str, key_field: str | int | None = None, field_delim: str = "\\t",
                    codec: str | None = None, cols: Sequence[str] | None = None) -> None:
     """``key_field``: a column name or 0-based index (``-1``/``None`` = no key)."""
+    from sluice.plans.tables import drop_path, scratch_path
+
     names = list(cols or df.columns)
     if isinstance(key_field, int):
         key_field = None if key_field < 0 else names[key_field]
@@ -37,4 +39,9 @@ def write_sequence(df: DataFrame, path: str, key_field: str | int | None = None,
     key = F.col(key_field).cast("string") if key_field else F.lit(None).cast("string")
     pairs = df.select(key.alias("k"), join_fields(value_cols, field_delim).alias("v"))
     codec_class = CODECS.get(codec.lower(), codec) if codec else None
-    pairs.rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path, compressionCodecClass=codec_class)
+    # Staged by a DataFrame action, which observations of the frame see; `.rdd` would bypass them.
+    spark = df.sparkSession
+    stage = scratch_path(spark, "sequence-stage")
+    pairs.write.parquet(stage)
+    spark.read.schema(pairs.schema).parquet(stage).rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path, compressionCodecClass=codec_class)
+    drop_path(spark, stage)

@@ -1,15 +1,18 @@
-"""K5: table sink with partition-overwrite semantics.
+"""K5: table sink that replaces a partition or the table.
 
-Only the partitions present in the written frame are replaced (dynamic partition
-overwrite); a static spec ``{"dt": "20151101"}`` pins the target partition. Without
-partition columns the whole table is replaced. Spark's commit protocol stages files and
-moves them into place on success, so a failed or retried job never exposes partial
-output -- the reference's temp-dir + swap, done by the committer.
+* A static spec ``{"dt": "20151101"}`` replaces that partition, also when the frame is empty.
+* Without a spec an overwrite replaces the whole table; ``present_only`` replaces just the
+  partitions that the frame holds (dynamic partition overwrite).
+
+Spark's commit protocol stages files and moves them into place on success, so a failed or
+retried job never exposes partial output.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,41 +21,69 @@ from sluice.functions.coerce import encode_nulls
 from sluice.sources.table import parse_partition_spec
 
 
+def _partition_folder(df: DataFrame, path: str, spec: Mapping[str, str]) -> str:
+    escape = df.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([path.rstrip("/"), *[f"{escape(k)}={escape(str(v))}" for k, v in spec.items()]])
+
+
+def _overwrite_catalog_partition(df: DataFrame, name: str, spec: Mapping[str, str], pcols: Sequence[str]) -> None:
+    """``INSERT OVERWRITE ... PARTITION``: an empty frame empties the partition, too."""
+    spark, quoted = df.sparkSession, lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cols = [c.name for c in spark.catalog.listColumns(name) if c.name not in spec]
+    view = f"sluice_insert_{uuid.uuid4().hex}"
+    df.select(*cols).createOrReplaceTempView(view)
+    try:
+        keys = ", ".join(f"`{c}` = {quoted(spec[c])}" if c in spec else f"`{c}`" for c in pcols)
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({keys}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def write_table(df: DataFrame, name: str | None = None, path: str | None = None, fmt: str = "parquet",
                 partition: str | Mapping[str, str] | None = None, partition_cols: Sequence[str] = (),
-                mode: str = "overwrite", null_token: str | None = None) -> None:
+                mode: str = "overwrite", null_token: str | None = None, present_only: bool = False) -> None:
     """Write into a catalog table (``name``) or a partitioned directory (``path``).
 
     ``partition``: static spec (``"k=v;k2=v2"`` or a dict) added as constant columns.
     ``null_token``: encode NULL/empty as e.g. ``\\N`` first (text tables, K5a).
+    ``present_only``: without a spec, leave partitions that the frame does not hold as they are.
     """
     if (name is None) == (path is None):
         raise ValueError("give exactly one of name= or path=")
-    if name is not None and not partition_cols and df.sparkSession.catalog.tableExists(name):
-        partition_cols = [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
+    spark = df.sparkSession
+    exists = name is not None and spark.catalog.tableExists(name)
+    if exists and not partition_cols:
+        partition_cols = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     spec = dict(partition) if isinstance(partition, Mapping) else parse_partition_spec(partition, partition_cols)
     if null_token is not None:
         df = encode_nulls(df, [c for c in df.columns if c not in spec], null_token)
     if spec:
         df = df.withColumns({k: F.lit(v) for k, v in spec.items()})
     pcols = list(partition_cols) or list(spec)
-    if name is not None:
-        if df.sparkSession.catalog.tableExists(name):
-            # Hive tables take dynamic partition values only in non-strict mode
-            df.sparkSession.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
-            cols = [c.name for c in df.sparkSession.catalog.listColumns(name)]
-            (df.select(*cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-             .insertInto(name, overwrite=(mode == "overwrite")))
-        else:
-            w = df.write.mode(mode).format(fmt)
-            if pcols:
-                w = w.partitionBy(*pcols)
-            w.saveAsTable(name)
+    scope = "dynamic" if present_only or spec else "static"
+    if exists:
+        # Hive tables take dynamic partition values only in non-strict mode
+        spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
+        if spec and mode == "overwrite":
+            _overwrite_catalog_partition(df, name, spec, pcols)
+            return
+        cols = [c.name for c in spark.catalog.listColumns(name)]
+        (df.select(*cols).write.mode(mode).option("partitionOverwriteMode", scope)
+         .insertInto(name, overwrite=(mode == "overwrite")))
         return
-    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic")
+    if path is not None and spec and mode == "overwrite" and list(spec) == pcols[:len(spec)]:
+        # the partition's folder is the target, so an empty frame replaces its rows as well
+        w = df.drop(*spec).write.mode(mode).format(fmt)
+        rest = pcols[len(spec):]
+        (w.partitionBy(*rest) if rest else w).save(_partition_folder(df, path, spec))
+        return
+    w = df.write.mode(mode).format(fmt)
     if pcols:
         w = w.partitionBy(*pcols)
-    w.save(path)
+    if name is not None:
+        w.saveAsTable(name)
+    else:
+        w.option("partitionOverwriteMode", scope).save(path)
 
 
 def write_upsert(incoming: DataFrame, keys: Sequence[str], name: str | None = None, path: str | None = None,
@@ -61,13 +92,14 @@ def write_upsert(incoming: DataFrame, keys: Sequence[str], name: str | None = No
     """K6 as a sink: merge ``incoming`` into a table on ``keys`` and rewrite what changed.
 
     With partition columns that are part of the key, only the partitions the incoming rows
-    touch are read, merged and overwritten (dynamic partition overwrite); otherwise the
-    whole table is rewritten. The merged rows are first written to ``stage`` (default:
-    a fresh folder under ``spark.checkpoint.dir``) because the job reads the table it
+    touch (the NULL partition included) are read, merged and overwritten; otherwise the whole
+    table is replaced, so a row that moves to another partition leaves none behind. The incoming
+    rows, one per key, and the merged rows are first written to ``stage`` (default: a fresh folder
+    under ``spark.checkpoint.dir``, deleted after the commit), because the job reads the table it
     replaces -- a written stage survives executor loss, cached blocks would not.
     """
-    from sluice.operators.upsert import upsert
-    from sluice.plans.tables import scratch_path
+    from sluice.operators.upsert import dedupe_by_key, upsert
+    from sluice.plans.tables import drop_path, scratch_path
 
     spark = incoming.sparkSession
     if name is not None:
@@ -76,15 +108,24 @@ def write_upsert(incoming: DataFrame, keys: Sequence[str], name: str | None = No
             partition_cols = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     else:
         existing = spark.read.format(fmt).load(path)
-    pcols = [c for c in partition_cols if c in keys]
-    if pcols and len(pcols) == len(partition_cols):
-        touched = incoming.select(*pcols).distinct()
-        existing = existing.join(touched, pcols, "left_semi")
-    merged = upsert(existing, incoming, keys, mode=mode, order=order)
+    own_stage = stage is None
     stage = stage or scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").format("parquet").save(stage)
-    staged = spark.read.parquet(stage)
+    if order is not None:
+        incoming = dedupe_by_key(incoming, list(keys), order, keep="last" if mode.lower() == "replace" else "first")
+    incoming.select(*existing.columns).write.mode("overwrite").parquet(f"{stage}/incoming")
+    incoming = spark.read.schema(existing.schema).parquet(f"{stage}/incoming")
+    pcols = [c for c in partition_cols if c in keys]
+    in_key = bool(pcols) and len(pcols) == len(partition_cols)
+    if in_key:
+        touched = incoming.select(*[F.col(c).alias(f"__t{i}") for i, c in enumerate(pcols)]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"__t{i}")) for i, c in enumerate(pcols)]
+        existing = existing.join(touched, reduce(lambda a, b: a & b, same), "left_semi")
+    merged = upsert(existing, incoming, keys, mode=mode)
+    merged.write.mode("overwrite").format("parquet").save(f"{stage}/merged")
+    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     if name is not None:
-        write_table(staged, name=name)
+        write_table(staged, name=name, present_only=in_key)
     else:
-        write_table(staged, path=path, fmt=fmt, partition_cols=partition_cols)
+        write_table(staged, path=path, fmt=fmt, partition_cols=partition_cols, present_only=in_key)
+    if own_stage:
+        drop_path(spark, stage)

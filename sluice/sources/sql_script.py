@@ -8,13 +8,16 @@ sets, UDFs registered on the session) is available and planned by Catalyst. DDL
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+_COMMENT = re.compile(r"--[^\n]*|/\*.*?\*/", re.S)
+
 
 def split_statements(script: str) -> list[str]:
-    """Split on ``;`` that is not escaped as ``\\;``; blank statements are dropped."""
+    """Split on ``;`` that is not escaped as ``\\;``; blank and comment-only statements are dropped."""
     out, buf = [], []
     i = 0
     while i < len(script):
@@ -30,7 +33,7 @@ def split_statements(script: str) -> list[str]:
             buf.append(ch)
         i += 1
     out.append("".join(buf))
-    return [s.strip() for s in out if s.strip()]
+    return [s.strip() for s in out if _COMMENT.sub("", s).strip()]
 
 
 def run_statements(spark: SparkSession, script: str) -> list[DataFrame]:
@@ -38,14 +41,17 @@ def run_statements(spark: SparkSession, script: str) -> list[DataFrame]:
     results = []
     for stmt in split_statements(script):
         df = spark.sql(stmt)
-        if df.columns and not df.isStreaming and _is_query(stmt):
+        if df.columns and not df.isStreaming and _is_query(df):
             results.append(df)
     return results
 
 
-def _is_query(stmt: str) -> bool:
-    head = stmt.lstrip("( \n\t").split(None, 1)[0].upper() if stmt.strip() else ""
-    return head in ("SELECT", "WITH", "VALUES", "FROM", "TABLE", "SHOW", "DESCRIBE", "DESC", "EXPLAIN")
+def _is_query(df: DataFrame) -> bool:
+    """Whether Spark planned a query, or a command whose purpose is its rows (SHOW, DESCRIBE, EXPLAIN)."""
+    plan = df._jdf.queryExecution().commandExecuted()
+    if plan.getClass().getSimpleName() != "CommandResult":
+        return True
+    return plan.commandLogicalPlan().getClass().getSimpleName().startswith(("Show", "Describe", "Explain"))
 
 
 def scan_sql(spark: SparkSession, script: str) -> DataFrame:

@@ -55,7 +55,9 @@ def scan_table(spark: SparkSession, name: str | None = None, partition: str | di
         unknown = [k for k in spec if k not in df.columns]
         if unknown:
             raise ValueError(f"unknown partition columns {unknown}")
-        cond = reduce(lambda a, b: a & b, [F.col(k).cast("string") == F.lit(str(v)) for k, v in spec.items()])
+        # compared in the column's own type: inference reads the folder ``m=01`` as the number 1
+        types = {f.name: f.dataType for f in df.schema}
+        cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(str(v)).try_cast(types[k]) for k, v in spec.items()])
         df = df.where(cond)
     return df
 

@@ -81,7 +81,8 @@ def scan_text(spark: SparkSession, paths: str | Sequence[str], line_delim: str |
     df = reader.text(list(paths) if not isinstance(paths, str) else paths)
     cols = [_decode_value(spark, encode).alias("value")]
     if with_path or path_regex:
-        cols.append(F.col("_metadata.file_path").alias("path"))
+        # the metadata path is URL-encoded, except that a plus sign stands for itself
+        cols.append(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path"))
     out = df.select(*cols)
     if path_regex:
         out = out.filter(F.col("path").rlike(path_regex))
@@ -94,7 +95,9 @@ def scan_glob(spark: SparkSession, root: str, pattern: str, **kw) -> DataFrame:
     """S5 ``**`` patterns: recursive listing under ``root``, full path matched by the glob."""
     if "**" not in pattern:
         return scan_text(spark, root.rstrip("/") + "/" + pattern.lstrip("/"), **kw)
-    regex = re.escape(root.rstrip("/")) + "/" + glob_to_regex(pattern.lstrip("/")) + "$"
+    # Hadoop writes a local root with one slash (file:/x), and so do the paths it is compared with
+    plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toString()
+    regex = re.escape(plain.rstrip("/")) + "/" + glob_to_regex(pattern.lstrip("/")) + "$"
     return scan_text(spark, root, recursive=True, path_regex=regex, **kw)
 
 
