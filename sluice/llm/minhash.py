@@ -40,7 +40,7 @@ from sluice.llm.shingles import SIGNATURE, set_key, shingle_sets, signature
 TREES = 32
 DEPTH = 4
 MAX_DEPTH = 16
-REGION = 384
+REGION = 1024
 NEAR = 0.6
 THRESHOLD = 75
 
@@ -62,8 +62,9 @@ def _sets(batches):
         sets = list(shingle_sets(batch.column(1)))
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+        signs = pa.array([signature(s) for s in sets], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "shingles"])
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), signs], names=["doc_id", "shingles", "sign"])
 
 
 def _value(level) -> F.Column:
@@ -76,7 +77,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"), F.size("shingles").alias("na"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"), F.size("shingles").alias("nb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(right, "b").join(left, "a")
+    # merge joins at every size: the plan on a small input is the plan on a large one
+    return (pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
             .where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
             .where(100 * both >= threshold * (F.col("na") + F.col("nb") - both))
             .select("a", "b"))
@@ -199,15 +201,15 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     members = store(orders.join(regions, "region"), "members")
 
     wanted = members.select("doc_id").distinct()
-    texts = view.where("doc_id IS NOT NULL").join(wanted, "doc_id", "left_semi")
+    texts = view.where("doc_id IS NOT NULL").join(wanted.hint("merge"), "doc_id", "left_semi")
     # a repeated doc_id with another text was not the class's representative
-    sets = store(texts.mapInArrow(_sets, "doc_id long, shingles array<long>").groupBy("doc_id")
-                 .agg(F.max_by("shingles", F.size("shingles")).alias("shingles")), "sets")
+    sets = store(texts.mapInArrow(_sets, "doc_id long, shingles array<long>, sign binary").groupBy("doc_id")
+                 .agg(F.max_by(F.struct("shingles", "sign"), F.size("shingles")).alias("s")).select("doc_id", "s.shingles", "s.sign"), "sets")
     pairs = members.where("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = store(_confirm(pairs, sets, threshold), "links")
 
     def linked(tiles: DataFrame, once: bool) -> DataFrame:
-        full = tiles.select("region", "tree", "doc_id", "comp").join(reps, "doc_id").join(sets, "doc_id")
+        full = tiles.select("region", "tree", "doc_id", "comp").join(sets.hint("merge"), "doc_id")
         return store(links.unionAll(full.groupBy("region").applyInArrow(_linker(threshold, once), "a long, b long")), "links")
 
     comps, rows = _open(members, links)
