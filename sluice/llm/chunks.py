@@ -51,11 +51,12 @@ class ChunkEncoder:
 
     def pieces(self, text: str) -> list[str]:
         if self.kind == "plain":
-            return [p for p in text.replace("\n", " ").split(" ") if p]
-        if _RUN.search(text):
+            return list(filter(None, text.replace("\n", " ").split(" ")))
+        if "\0" in text or _RUN.search(text):
             return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+        # a mark before every space: the cut itself leaves the spaces where they are
+        cut = text.replace(" ", "\0 ").split("\0")
+        return cut if cut[0] else cut[1:]
 
     def encode(self, texts: list[str], group: int = 512):
         """Yield the ids of each text as an unsigned numpy array."""
