@@ -18,7 +18,7 @@ from sluice.plans.catalog import query
 from sluice.plans.tables import register_views, scratch_path, table
 from sluice.sinks.table import write_table, write_upsert
 from sluice.sources.sql_script import scan_sql
-from sluice.sources.table import scan_table
+from sluice.sources.table import scan_table, scan_table_template
 from sluice.sources.text import scan_glob
 
 _NAMED = """
@@ -119,6 +119,14 @@ def q_partition_padded(spark, sf_dir):
     return scan_table(spark, path=path, partition="m=01").select("o_orderkey")
 
 
+@query("table_partition_template", "SELECT o_orderkey, month(o_orderdate) AS m FROM orders WHERE month(o_orderdate) IN (1, 2, 3)")
+def q_partition_template(spark, sf_dir):
+    """A partition template becomes one pruned scan of all the partitions that it names."""
+    path = scratch_path(spark, "template")
+    write_table(table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "MM").alias("m")), path=path, partition_cols=["m"])
+    return scan_table_template(spark, path=path, partition="m=${enum:1~4,2}").select("o_orderkey", F.col("m").cast("bigint").alias("m"))
+
+
 @query("normalize_numeric_wide", """
 SELECT l_orderkey, l_linenumber,
        CAST(CASE WHEN l_linenumber = 1 THEN l_quantity + 0.01 ELSE l_quantity END AS DECIMAL(38, 2)) AS q

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.functions.coerce import normalize_numeric, render_date
@@ -44,8 +45,9 @@ def scan_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
 
     ``fetchsize="min"`` asks for a streamed result (cursor fetch, rows in small batches)
     instead of materialising it in the driver of the database client. Connecting (schema
-    resolution on the driver) is retried ``max_retries`` times, ``retry_wait`` seconds apart;
-    the row reads themselves are Spark tasks and retried by Spark.
+    resolution on the driver) is retried ``max_retries`` times, ``retry_wait`` seconds apart,
+    where the error is one that may pass; bad SQL or credentials fail at once. The row reads
+    themselves are Spark tasks and retried by Spark.
     """
     reader = spark.read.format("jdbc").option("url", url)
     if partition_column:
@@ -83,11 +85,26 @@ def _load_with_retries(reader, max_retries: int, retry_wait: float) -> DataFrame
             return reader.load()
         except Exception as e:  # connection / metadata errors surface here
             attempt += 1
-            if attempt > max_retries or "AnalysisException" in type(e).__name__:
+            if attempt > max_retries or not _may_pass(reader._spark.sparkContext._gateway, e):
                 raise
             time.sleep(retry_wait)
 
 
+def _may_pass(gateway, error: Exception) -> bool:
+    """Whether a failed connection is worth another try: not with bad SQL, names or credentials.
+
+    SQL states of class 08 are connection failures; the two exception classes are JDBC's own
+    marks for errors that may pass.
+    """
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        if is_instance_of(gateway, cause, "java.sql.SQLException"):
+            passing = ("java.sql.SQLTransientException", "java.sql.SQLRecoverableException")
+            return (cause.getSQLState() or "").startswith("08") or any(is_instance_of(gateway, cause, c) for c in passing)
+        cause = cause.getCause()
+    return False
+
+
 def normalize_jdbc(df: DataFrame, scale: int = 2, rounding: str = "up", dates_as_text: bool = False) -> DataFrame:
     """S10a / S10b on a JDBC result: decimals rounded to ``scale``; optionally temporal
     columns rendered ``yyyy-MM-dd`` like the reference."""

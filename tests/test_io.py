@@ -146,13 +146,54 @@ def test_write_upsert_rewrites_touched_partitions_only(spark, outdir):
     assert sorted(os.listdir(local(path) + "/dt=d2")) == before_d2   # untouched partition kept its files
 
 
-def test_jdbc_retries_then_fails_fast_on_bad_url(spark):
+def test_jdbc_fails_at_once_on_errors_that_stay(spark):
     import time
     t0 = time.time()
-    with pytest.raises(Exception):
-        scan_jdbc(spark, "jdbc:derby:memory:nope_db", query="select 1 from sysibm.sysdummy1", max_retries=2,
-                  retry_wait=0.1)
-    assert time.time() - t0 < 60
+    for url, query in [("jdbc:derby:memory:nope_db", "select 1 from sysibm.sysdummy1"),
+                       ("jdbc:derby:memory:sluice_r;create=true", "select nothing from nowhere")]:
+        with pytest.raises(Exception):
+            scan_jdbc(spark, url, query=query, max_retries=2, retry_wait=60)
+    assert time.time() - t0 < 50
+
+
+def test_jdbc_retries_errors_that_may_pass(spark):
+    from sluice.sources.jdbc import _may_pass
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+
+    class Failed(Exception):
+        def __init__(self, cause):
+            self.java_exception = cause
+
+    sql = jvm.java.sql.SQLException
+    assert _may_pass(gateway, Failed(jvm.java.lang.RuntimeException(sql("no route", "08001"))))
+    assert _may_pass(gateway, Failed(jvm.java.sql.SQLTransientConnectionException("busy")))
+    assert not _may_pass(gateway, Failed(sql("bad login", "28000")))
+    assert not _may_pass(gateway, Failed(sql("no state")))
+    assert not _may_pass(gateway, ValueError("x"))
+
+
+def test_jdbc_upsert_embedded_derby(spark):
+    from sluice.sinks.jdbc import run_statements, upsert_jdbc
+    url = "jdbc:derby:memory:sluice_u;create=true"
+    run_statements(spark, url, ["CREATE TABLE target (k INT, v INT, who VARCHAR(9))",
+                                "CREATE TABLE staged (k INT, v INT, who VARCHAR(9))",
+                                "CREATE TABLE log (n INT)",
+                                "INSERT INTO target VALUES (1, 1, 'old'), (2, 2, 'old'), (NULL, 3, 'old')"])
+    rows = spark.createDataFrame([(2, 20, 1), (2, 21, 2), (3, 30, 1), (None, 40, 1)], "k int, v int, seq int")
+
+    def held():
+        return sorted((tuple(r) for r in scan_jdbc(spark, url, table="target").collect()), key=str)
+
+    for _ in range(2):  # a repeated load changes nothing but the rows without a key
+        upsert_jdbc(rows.where("k is not null"), url, "target", ["k"], "staged", order="seq", set_cols={"who": "'new'"},
+                    post_sql="INSERT INTO log VALUES 1")
+        assert held() == sorted([(1, 1, "old"), (2, 21, "new"), (3, 30, "new"), (None, 3, "old")], key=str)
+    assert scan_jdbc(spark, url, table="log").count() == 2 and scan_jdbc(spark, url, table="staged").count() == 0
+    upsert_jdbc(rows, url, "target", ["k"], "staged", mode="ignore", order="seq", set_cols={"who": "'late'"})
+    assert held() == sorted([(1, 1, "old"), (2, 21, "new"), (3, 30, "new"), (None, 3, "old"), (None, 40, "late")], key=str)
+    with pytest.raises(Exception):  # the merge is one transaction
+        upsert_jdbc(rows, url, "target", ["k"], "staged", order="seq", set_cols={"who": "'x'"}, post_sql="INSERT INTO nowhere VALUES 1")
+    assert len(held()) == 5
 
 
 def test_codec_named_in_config(spark, outdir):
