@@ -91,8 +91,8 @@ def cells_to_rows(families: str, columns: str, as_line: bool = False, naming: st
 def filter_day_range(col: str, begin: str | None = None, end: str | None = None):
     """Keep rows with ``begin 00:00:00 <= col < end 00:00:00`` (dates ``yyyy-MM-dd``).
 
-    A missing bound is open. Timestamp/date columns compare as timestamps (pushed down
-    to the scan); numeric or text columns are taken as epoch seconds.
+    A missing bound is open. Timestamp/date columns compare as timestamps, whole numbers as
+    epoch seconds (both pushed down to the scan); other columns are read as epoch seconds.
     """
 
     def op(df: DataFrame) -> DataFrame:
@@ -103,7 +103,8 @@ def filter_day_range(col: str, begin: str | None = None, end: str | None = None)
             lo = F.to_timestamp(F.lit(begin), "yyyy-MM-dd") if begin else None
             hi = F.to_timestamp(F.lit(end), "yyyy-MM-dd") if end else None
         else:
-            c = c.cast("string").try_cast("bigint")
+            if not isinstance(dtype, T.IntegralType):
+                c = c.cast("string").try_cast("bigint")
             lo = F.unix_timestamp(F.lit(begin), "yyyy-MM-dd") if begin else None
             hi = F.unix_timestamp(F.lit(end), "yyyy-MM-dd") if end else None
         if lo is not None:

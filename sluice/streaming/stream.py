@@ -4,8 +4,9 @@ Every row processor, template column and coercion in sluice is a projection or a
 so a chain built for a batch job applies unchanged to a streaming frame. Writing one
 stream to several targets goes through ``foreachBatch``: each micro-batch is persisted
 once, written to every target, then released. Checkpoints live under the cluster's
-``spark.checkpoint.dir`` (read from the session), so a restarted query resumes
-exactly where it stopped.
+``spark.checkpoint.dir`` (read from the session), so a restarted query resumes with the
+first micro-batch that was not committed. Delivery is at least once: a batch that stopped
+between its writes and its commit is written again, to every target.
 """
 
 from __future__ import annotations
