@@ -1,18 +1,24 @@
 """Main text of web pages by wrapper induction (operator 4).
 
-Pages of one host share a template. Every page is parsed into a tree and aligned, by simple tree
-matching, with a few reference pages of its host. Text nodes that are the same on both sides of an
-alignment are constant: with two references as witnesses they belong to the template and go.
-Nodes whose text varies are the slots that hold content. A reference that shares most of the
-page's text is a copy of the page, which says nothing of the template, and is no witness.
+Pages of one host share templates, one per layout. Every page is parsed into a tree, and each text
+node of its main part gets a key: its path of elements and its text. Over all pages of a host it is
+counted on how many distinct pages each key occurs. A key on at least one page in :data:`SHARE` of
+its layout's pages, or of the host's, and on :data:`LEAST` pages or more, belongs to the template and
+goes; whatever a smaller share holds is content. Two nodes with one key have equal texts below equal
+elements, which is what tree matching of two pages would call constant, for any number of siblings.
+
+A page's layout is the set of containers with their class names (those without digits) that frame
+its article, down to two levels below the body.
+
+Copies count once. A first count takes pages with equal keys as one; the second takes pages with
+equal varying slots (what the first calls no template) as one, and only its result is used.
 
 What a page is made of also counts: elements and class names for navigation, headers, footers,
 sidebars, notices, adverts, forms and reader comments are dropped, scripts and styles never enter
 the tree, and if there is an article (else a main element), the text is taken from it.
 
-References are :data:`REFERENCES` pages per host with the least hashes, found by map-side combined
-minima; a hot host has no more. Pages meet them by one join on the host, which AQE splits where a
-host is hot.
+Counts are map-side combined, so a hot host has no hot task; templates meet the pages by joins on
+the layout and on the host, salted :data:`SALTS` times.
 
 Text: character references decoded, white space within a block becomes one space, blocks in page
 order are joined by a newline. Defined cases: a NULL or empty page, or one without text, gives
@@ -24,18 +30,20 @@ is text. Trees are walked without recursion limits: nesting beyond :data:`DEEPES
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.frames import pick
+from sluice.llm.frames import pick, store
 
-REFERENCES = 4
-WITNESSES = 2
+SHARE = 2
+LEAST = 3
+SALTS = 16
 DEEPEST = 200
-CELLS = 256
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +58,7 @@ NOISE = frozenset(
     "alert popup modal overlay newsletter subscribe signup login nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar "
     "footer masthead topbar comment comments disqus respond replies reactions share sharing social related recommended widget toolbar skip".split())
 KEPT_ANYWAY = frozenset("html body article main".split())
+FRAME = frozenset("body div section article main header footer nav aside form".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -60,10 +69,18 @@ _ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 class Node:
     """An element, or a block of text (``tag`` is then "")."""
 
-    __slots__ = ("tag", "kids", "text", "dropped", "size")
+    __slots__ = ("tag", "kids", "text", "dropped", "frame")
 
     def __init__(self, tag: str, text: str = "", dropped: bool = False):
-        self.tag, self.kids, self.text, self.dropped, self.size = tag, [], text, dropped, 1
+        self.tag, self.kids, self.text, self.dropped, self.frame = tag, [], text, dropped, None
+
+
+def _names(attributes: str, digits: bool = True) -> set[str]:
+    """Whole tokens of class, id and role in small letters; on request only those without a digit."""
+    if not attributes.strip():
+        return set()
+    names = {w for _, a, b, c in _NAMED.findall(attributes) for w in (a or b or c).lower().split()}
+    return names if digits else {w for w in names if not any(map(str.isdigit, w))}
 
 
 def _noise(tag: str, attributes: str, inside: bool) -> bool:
@@ -83,6 +100,7 @@ def _noise(tag: str, attributes: str, inside: bool) -> bool:
 def parse(html: str) -> Node:
     """The tree of a page without what is dropped by name; texts are merged per block."""
     root = Node("html")
+    root.frame = set()
     stack, run, at, article = [root], [], 0, 0
 
     def flush() -> None:
@@ -145,6 +163,8 @@ def parse(html: str) -> Node:
                     break
                 if stack[k].tag in SCOPE and stack[k].tag not in ("td", "th"):
                     break
+        if not article and tag in FRAME and len(stack) <= 3:
+            root.frame.add(" ".join([str(len(stack)), tag, *sorted(_names(attributes, digits=False))]))
         node = Node(tag, "", _noise(tag, attributes, article > 0))
         if not any(n.dropped for n in stack) and not node.dropped:
             stack[-1].kids.append(node)
@@ -186,94 +206,106 @@ def main_part(root: Node) -> Node:
     return best if best is not None and not blocks(root) else root
 
 
-def _pairs(a: list[Node], b: list[Node], memo: dict) -> list[tuple[Node, Node]]:
-    """Order-preserving alignment of two lists of siblings with the largest total match."""
-    if len(a) * len(b) > CELLS:
-        # long lists: siblings of equal tags are aligned from the front and from the back
-        return [(x, y) for x, y in [*zip(a, b), *zip(reversed(a), reversed(b))] if x.tag == y.tag]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    gain = {}
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            g = gain[i, j] = _match(a[i], b[j], memo)
-            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + g if g else 0)
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if gain[i, j] and best[i][j] == best[i + 1][j + 1] + gain[i, j]:
-            out.append((a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif best[i][j] == best[i + 1][j]:
-            i += 1
-        else:
-            j += 1
-    return out
+class Page:
+    """What a page's main part is made of: its text blocks, and a key of place and text for each."""
 
+    __slots__ = ("layout", "texts", "keys")
 
-def _match(a: Node, b: Node, memo: dict) -> float:
-    """Simple tree matching: how many nodes two trees have in common, order and depth kept.
+    def __init__(self, html: str):
+        root = parse(html)
+        self.layout = _hash("\n".join(sorted(root.frame)))
+        self.texts, self.keys = [], []
+        todo = [(main_part(root), "")]
+        while todo:
+            node, path = todo.pop()
+            if node.tag:
+                path = f"{path}/{node.tag}"
+                todo += [(kid, path) for kid in reversed(node.kids)]
+            else:
+                self.texts.append(node.text)
+                self.keys.append(_hash(f"{path}\n{node.text}"))
 
-    Equal texts count a little more than texts that differ, so that constants align first.
-    """
-    if a.tag != b.tag:
-        return 0
-    if not a.tag:
-        return 1.5 if a.text == b.text else 1
-    key = (id(a), id(b))
-    if key not in memo:
-        memo[key] = 1 + sum(_match(x, y, memo) for x, y in _pairs(a.kids, b.kids, memo))
-    return memo[key]
 
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
-def constants(page: Node, reference: Node) -> set[int]:
-    """Ids of the page's text nodes that the reference has at the same place with the same text."""
-    out, todo, memo = set(), [(page, reference)], {}
-    while todo:
-        a, b = todo.pop()
-        if not a.tag:
-            if a.text == b.text:
-                out.add(id(a))
-        else:
-            todo += _pairs(a.kids, b.kids, memo)
-    return out
+
+def kept(texts: list[str], keys: list[int], template: set[int]) -> str:
+    """The blocks that the template does not hold."""
+    return "\n".join(t for t, k in zip(texts, keys) if k not in template)
 
 
-def main_text(html: str, references: list[Node]) -> str:
-    """The main text of a page, given the main parts of reference pages of its host."""
-    part = main_part(parse(html))
-    found = blocks(part)
-    whole = sum(len(b.text) for b in found)
-    votes: dict[int, int] = {}
-    for reference in references:
-        same = constants(part, reference)
-        if 2 * sum(len(b.text) for b in found if id(b) in same) <= whole:
-            for i in same:
-                votes[i] = votes.get(i, 0) + 1
-    return "\n".join(b.text for b in found if votes.get(id(b), 0) < WITNESSES)
+def main_text(html: str, template: Iterable[int]) -> str:
+    """The main text of a page, given the keys of its layout's template."""
+    page = Page(html)
+    return kept(page.texts, page.keys, set(template))
 
 
-def _extract(batches):
-    seen: dict[str, list] = {}
+def _keys(batches):
     for batch in batches:
-        texts = []
-        for own, host, html, ids, pages in zip(*(c.to_pylist() for c in batch.columns[2:7])):
-            if host not in seen:
-                if len(seen) > 64:
-                    seen.clear()
-                seen[host] = [(i, main_part(parse(p))) for i, p in zip(ids or [], pages or [])]
-            texts.append(main_text(html, [tree for i, tree in seen[host] if i != own]))
+        pages = [Page(h) for h in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([p.layout for p in pages], pa.int64()), pa.array([[*dict.fromkeys(p.keys)] for p in pages], pa.list_(pa.int64()))],
+            names=["host", "layout", "keys"])
+
+
+def _blocks(batches):
+    for batch in batches:
+        pages = [Page(h) for h in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array([p.layout for p in pages], pa.int64()), pa.array([p.texts for p in pages], pa.list_(pa.string())),
+             pa.array([p.keys for p in pages], pa.list_(pa.int64()))],
+            names=["page_id", "url", "host", "layout", "texts", "keys"])
+
+
+def _kept(batches):
+    for batch in batches:
+        texts = [kept(t, k, {*(a or ()), *(b or ())}) for t, k, a, b in zip(*(c.to_pylist() for c in batch.columns[2:6]))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
+def _grouped(pages: DataFrame) -> DataFrame:
+    """Ids of the two groups a page belongs to, its layout and its whole host, and a salt for joins on them."""
+    return pages.withColumns({"layout": F.xxhash64("host", "layout"), "host": F.xxhash64("host"), "salt": F.pmod(F.xxhash64("keys"), F.lit(SALTS))})
+
+
+def _called(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """``id, salt, template``: per group the keys that a share of its pages holds; at most nodes-a-page / share keys."""
+    held = (counts.where(F.col("n") >= LEAST).join(totals, "id").where(F.col("n") * SHARE >= F.col("total"))
+            .groupBy("id").agg(F.collect_list("key").alias("template")))
+    return held.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), "template")
+
+
+def _with_template(pages: DataFrame, called: DataFrame) -> DataFrame:
+    """``pages`` with ``own`` and ``shared``, the templates of the layout and of the host."""
+    own = called.select(F.col("id").alias("layout"), "salt", F.col("template").alias("own"))
+    shared = called.select(F.col("id").alias("host"), "salt", F.col("template").alias("shared"))
+    return pages.join(own, ["layout", "salt"], "left").join(shared, ["host", "salt"], "left")
+
+
+def wrappers(view: DataFrame) -> DataFrame:
+    """The templates of all layouts and hosts, counted over every page."""
+    ids = F.explode(F.array("layout", "host")).alias("id")
+    pages = store(_grouped(view.select("host", "html").mapInArrow(_keys, "host string, layout long, keys array<long>")
+                           .where(F.size("keys") > 0)).distinct(), "pages")
+    totals = pages.select(ids).groupBy("id").agg(F.count("*").alias("total"))
+    counts = pages.select(ids, F.explode("keys").alias("key")).groupBy("id", "key").agg(F.count("*").alias("n"))
+    first = store(_called(counts, totals), "candidates")
+    # copies: the same varying slots, whatever constant nodes a copy has besides; each counts once
+    template = F.concat(F.coalesce("own", F.array().cast("array<long>")), F.coalesce("shared", F.array().cast("array<long>")))
+    apart = (_with_template(pages, first).select("layout", "host", "keys", template.alias("template"))
+             .select("layout", "host", F.xxhash64(F.array_except("keys", "template")).alias("slots"), F.array_intersect("keys", "template").alias("keys")))
+    totals = apart.select(ids, "slots").distinct().groupBy("id").agg(F.count("*").alias("total"))
+    counts = apart.select(ids, "slots", F.explode("keys").alias("key")).distinct().groupBy("id", "key").agg(F.count("*").alias("n"))
+    return store(_called(counts, totals), "wrappers")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     view = pick(pages, page_id="long", url="string", html="string").select(
-        "page_id", "url", F.xxhash64("page_id", "url").alias("own"), host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    # the references' keys come from two small columns; their pages are then read by a join on the key
-    slot = F.pmod(F.xxhash64("own"), F.lit(REFERENCES))
-    chosen = view.groupBy("host", slot.alias("slot")).agg(F.min("own").alias("own")).select("host", "own")
-    chosen_pages = view.join(chosen, ["host", "own"], "left_semi").groupBy("host", "own").agg(F.min("html").alias("html"))
-    references = chosen_pages.groupBy("host").agg(F.collect_list("own").alias("ids"), F.collect_list("html").alias("pages"))
-    joined = view.join(references, "host", "left").select("page_id", "url", "own", "host", "html", "ids", "pages")
-    return (joined.mapInArrow(_extract, "page_id long, url string, text string")
+        "page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    blocks_ = view.mapInArrow(_blocks, "page_id long, url string, host string, layout long, texts array<string>, keys array<long>")
+    joined = _with_template(_grouped(blocks_), wrappers(view)).select("page_id", "url", "texts", "keys", "own", "shared")
+    return (joined.mapInArrow(_kept, "page_id long, url string, text string")
             .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")))

@@ -53,6 +53,28 @@ def test_html_template_is_learnt_per_host(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def _extracted(spark, rows):
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    return {r.page_id: r.text.split("\n") for r in got}
+
+
+def test_html_template_is_counted_over_all_pages_of_a_layout(spark):
+    blog = lambda i, end: f"<body><div class=blog><article><p>Motto</p><p>Body {i}</p>{end}</article></div></body>"
+    forum = lambda i: f"<body><div class='forum t{i}'><article><p>Post {i}</p><p>Forum rules</p></article></div></body>"
+    rows = [(100 * h + i, f"https://h{h}.example/{i}", blog(f"{h} {i}", "<p>Licensed</p>" if i % 5 < 2 else "")) for h in range(6) for i in range(20)]
+    rows += [(1000 + i, f"https://h0.example/f{i}", forum(i)) for i in range(5)]
+    # copies of one article, each with an own set of template lines: no majority of pages
+    rows += [(2000 + i, f"https://c.example/{i}", blog("same", "<p>Ad</p>" if i % 2 else "")) for i in range(8)]
+    rows += [(2100 + i, f"https://c.example/x{i}", blog(f"other {i}", "<p>Ad</p>")) for i in range(4)]
+    got = _extracted(spark, rows)
+    for h in range(6):
+        for i in range(20):
+            assert got[100 * h + i] == [f"Body {h} {i}"] + ["Licensed"] * (i % 5 < 2)
+    assert [got[1000 + i] for i in range(5)] == [[f"Post {i}"] for i in range(5)]
+    assert all(got[2000 + i] == ["Body same"] for i in range(8))
+    assert all(got[2100 + i] == [f"Body other {i}"] for i in range(4))
+
+
 def test_html_deep_and_broken_pages():
     assert html.main_text("<div>" * 5000 + "x" + "</div>" * 3, []) == "x"
     assert html.main_text("<p>a<p>b</b></i><li>c<li>d", []) == "a\nb\nc\nd"
