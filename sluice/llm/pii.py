@@ -5,7 +5,8 @@ IBANs, octet ranges, digit counts. Each kind starts with a score, a passed check
 and words nearby that name the kind raise it as well; a span is kept from :data:`ACCEPT` on.
 
 The four base kinds (email, ip, card, phone) are certain once valid and don't depend on context.
-The others must not overlap a span of an earlier kind. Offsets are code points, ends exclusive.
+The others must not overlap a span of an earlier kind. Secrets have no greatest length and may have
+inner dots (JWT and the like). Offsets are code points, ends exclusive.
 
 Defined cases: a NULL or empty text has no span. Long runs cost linear time: patterns are anchored
 at the start of a run and possessive, and an e-mail address grows from its ``@`` outwards.
@@ -111,7 +112,7 @@ def _ssn(s: str) -> bool:
 
 
 def _secret(s: str) -> bool:
-    return any(c.isdigit() for c in s) and any(c.isalpha() for c in s) and len(set(s)) >= 8
+    return len(s) >= 12 and any(c.isdigit() for c in s) and any(c.isalpha() for c in s) and len(set(s)) >= 8
 
 
 EXTRA_KINDS = (
@@ -122,7 +123,7 @@ EXTRA_KINDS = (
     Kind("national", r"(?<![0-9+.-])\(?0[0-9]{2,4}\)?[\x20/-][0-9]{3,4}(?:[\x20-]?[0-9]{2,4}){1,2}(?![0-9])",
          lambda s: 9 <= sum(map(str.isdecimal, s)) <= 12, 0.3, r"tel|phone|call|fax|mobile|handy|telefon|tél|móvil"),
     Kind("key", r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])", _secret, 0.9, r"key|aws"),
-    Kind("secret", r"(?<![A-Za-z0-9])[A-Za-z0-9_/+=-]{12,128}(?![A-Za-z0-9])", _secret, 0.3,
+    Kind("secret", r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_/+=.-]{12})[A-Za-z0-9_/+=-]++(?:\.[A-Za-z0-9_/+=-]++)*+", _secret, 0.3,
          r"(?:password|passwd|pwd|token|secret|api[_ -]?key)[\x22']?\s*[:=]\s*[\x22']?$", 0.5),
 )
 KINDS = (*BASE_KINDS, *(k.name for k in EXTRA_KINDS))
@@ -154,6 +155,11 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
             near = text[max(0, start - CONTEXT) : start] if words.pattern.endswith("$") else text[max(0, start - CONTEXT) : end + CONTEXT]
             if kind.score + kind.raised * bool(words.search(near)) < ACCEPT:
                 continue
+            if kind.name == "secret" and (cut := min((s for s, e in taken if start < s < end), default=0)):
+                # a dotted secret that runs into an earlier kind's span ends at the dot before it
+                end = max(start, text.rfind(".", start, cut))
+                if end - start < 12 or not kind.valid(text[start:end]):
+                    continue
             if not any(s < end and start < e for s, e in taken):
                 fresh.append((start, end))
         taken += fresh

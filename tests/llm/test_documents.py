@@ -148,6 +148,16 @@ def test_pii_redaction(spark):
     assert out == {1: ("to [EMAIL] now", 14), 2: (None, 5), 3: ("clean 12", 8)}
 
 
+def test_pii_secrets_of_any_length(spark):
+    rng = random.Random(11)
+    run = lambda n: "a1B2" + "".join(rng.choices("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789", k=n - 4))
+    secrets = [run(80), run(200), run(2000), ".".join([run(36), run(300), run(43)]), f"SG.{run(22)}.{run(43)}"]
+    rows = [(i, f"the token: {s}. Next", None) for i, s in enumerate(secrets)] + [(9, f"token: {secrets[0]}.10.0.0.1", None)]
+    out = {r.doc_id: r.text for r in pii.redact_documents(spark.createDataFrame(rows, "doc_id long, text string, n_chars int")).collect()}
+    assert out == {**{i: "the token: [SECRET]. Next" for i in range(len(secrets))}, 9: "token: [SECRET].[IP]"}
+    assert pii.find_spans("token: " + "-" * 200000 + " " + "a." * 100000) == []
+
+
 def _measures(text):
     text = text or ""
     w = WORD.findall(text)
