@@ -51,7 +51,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate(_table(spark, sf_dir, "conversations"))
+    return chat.rotate(_table(spark, sf_dir, "conversations")).drop("part", "lead", "start")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,25 @@ def test_chat(spark):
     assert out[1, "bob", 1].mask == "" and out[1, "bob", 1].n_masked == 0
 
 
+def test_chat_segments_keep_the_setting_and_join_to_the_dialogue(spark):
+    rows = [(1, None, "ann", f"early {i:03}") for i in range(150)] + [(1, 0, "system", "rules")]
+    rows += [(1, i, ("ann", "bob")[i % 2], f"turn {i}") for i in range(1, 200)] + [(1, 100, "system", "more rules")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    got = chat.rotate(frame.repartition(3)).collect()
+    for who in ("ann", "bob"):
+        mine = sorted((r for r in got if r.perspective == who), key=lambda r: (r.segment, r.part))
+        assert [(r.segment, r.part, r.n_turns) for r in mine] == [(-1, 0, 64), (-1, 1, 64), (-1, 2, 22), (0, 0, 64), (1, 0, 64), (1, 1, 1), (2, 0, 64), (3, 0, 8)]
+        head = lambda role: "system" if role == "system" else "assistant" if role == who else f"user name={role}"  # noqa: E731, B023
+        text = "".join(f"<|im_start|>{head(r[2])}\n{r[3]}<|im_end|>\n" for r in whole)
+        assert "".join(r.text[r.lead :] for r in mine) == text
+        assert all(text[r.start :].startswith(r.text[r.lead :]) for r in mine)
+        spoken = [f"{r[3]}<|im_end|>" for r in whole if r[2] == who]
+        assert [r.text[int(s) : int(e)] for r in mine for s, e in (x.split("-") for x in r.mask.split(",") if x)] == spoken
+        rules = "<|im_start|>system\nrules<|im_end|>\n"
+        assert [r.text[: r.lead] for r in mine] == [""] * 4 + [rules] + [rules + "<|im_start|>system\nmore rules<|im_end|>\n"] * 3
+
+
 def test_pipeline_is_its_stages_and_matches_brute_force(spark, tmp_path_factory):
     from tests.llm.test_documents import _brute_lines, _components, _ids, _measures
     from sluice.llm import pii, quality
