@@ -75,6 +75,14 @@ def test_html_template_is_counted_over_all_pages_of_a_layout(spark):
     assert all(got[2100 + i] == [f"Body other {i}"] for i in range(4))
 
 
+def test_html_long_flat_pages_are_matched_whole(spark):
+    page = lambda i: ("<article>" + "".join(f"<p>a {i} {k}</p>" for k in range(17 + 3 * i)) + "<p>Read our terms</p>"
+                      + "".join(f"<p>b {i} {k}</p>" for k in range(40 - 2 * i)) + "</article>")
+    got = _extracted(spark, [(i, f"https://h.example/{i}", page(i)) for i in range(8)])
+    for i in range(8):
+        assert got[i] == [f"a {i} {k}" for k in range(17 + 3 * i)] + [f"b {i} {k}" for k in range(40 - 2 * i)]
+
+
 def test_html_deep_and_broken_pages():
     assert html.main_text("<div>" * 5000 + "x" + "</div>" * 3, []) == "x"
     assert html.main_text("<p>a<p>b</b></i><li>c<li>d", []) == "a\nb\nc\nd"
