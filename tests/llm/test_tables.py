@@ -83,6 +83,20 @@ def test_html_long_flat_pages_are_matched_whole(spark):
         assert got[i] == [f"a {i} {k}" for k in range(17 + 3 * i)] + [f"b {i} {k}" for k in range(40 - 2 * i)]
 
 
+def test_html_names_are_a_prior_only(spark):
+    for name in ("layout no-sidebar", "page has-sidebar", "sidebar", "widget", "modal"):
+        assert html.main_text(f"<div class='{name}'><article><p>whole</p></article></div><p>else and more</p>", []) == "whole"
+        assert html.main_text(f"<div id='{name}'><main><p>whole</p></main></div>", []) == "whole"
+        assert html.main_text(f"<div class='{name}'><p>most of the text of the page</p></div><p>else</p>", []).startswith("most of")
+    inside = "".join(f"<p class='{c}'>{c}</p>" for c in ("notice", "alert", "related-work", "social-history"))
+    assert html.main_text(f"<article>{inside}</article>", []) == "notice\nalert\nrelated-work\nsocial-history"
+    assert html.main_text("<p>long text of the page</p><div class='post comments'><p>nice</p></div>", []) == "long text of the page"
+    assert html.main_text("<form id=aspnet><p>all of it</p></form>", []) == "all of it"
+    page = lambda i: f"<article><p>Body of {i}</p>" + ("<p class=notice>Join</p><p>Plain</p>" if i % 3 == 0 else "") + "</article>"
+    got = _extracted(spark, [(i, f"https://h.example/{i}", page(i)) for i in range(12)])
+    assert got == {i: [f"Body of {i}"] + ["Plain"] * (i % 3 == 0) for i in range(12)}
+
+
 def test_html_deep_and_broken_pages():
     assert html.main_text("<div>" * 5000 + "x" + "</div>" * 3, []) == "x"
     assert html.main_text("<p>a<p>b</b></i><li>c<li>d", []) == "a\nb\nc\nd"
