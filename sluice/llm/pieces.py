@@ -5,8 +5,8 @@ the trainer's and the normaliser's settings from it, and rebuilds the same token
 normaliser (its compiled character map, extra white space), the metaspace marker, a unigram model
 from the scores or a BPE model whose merges are ordered by the scores, and byte fallback. Texts are
 encoded in batches, on the library's own threads where the machine grants them, and decoded by the
-rebuilt decoder. Every task compares a few of its texts with the sentencepiece library and fails
-on any difference.
+rebuilt decoder. The ids of every text are compared with the sentencepiece library's; any difference
+fails the task.
 
 Defined cases: a NULL or empty text has no ids and decodes to the empty text; repeated rows each
 get their own result; a NULL ``doc_id`` stays NULL. Decoding gives the normalised text back; with
@@ -28,8 +28,7 @@ from sluice.llm.chunks import ChunkEncoder, worker_cache
 from sluice.llm.frames import documents_view
 
 MARK = "▁"
-CHECKED = 4
-CHECKED_CHARS = 5000
+CHECKED = 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -131,7 +130,7 @@ class PieceEncoder:
     """Batch encoder and decoder of one model file."""
 
     def __init__(self, path: str):
-        self.path, self.model = path, read_model(path)
+        self.path, self.model, self.theirs = path, read_model(path), None
         self.tokenizer = build_tokenizer(self.model)
         self.chunks = None if self.model.inner_mark else ChunkEncoder(self.tokenizer, threads=True)
 
@@ -159,27 +158,28 @@ class PieceEncoder:
         texts = self.tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
         return [t[1:] if self.model.dummy_prefix and t.startswith(" ") else t for t in texts]
 
-    def verify(self, texts: list[str]) -> None:
-        """Raise if any text's ids differ from the sentencepiece library's."""
+    def verified(self, texts: list[str]):
+        """Yield the ids of each text; raise if any differ from the sentencepiece library's."""
         import sentencepiece
 
-        theirs = sentencepiece.SentencePieceProcessor(model_file=self.path).encode(texts, num_threads=1)
-        for text, a, b in zip(texts, self.encode(texts), theirs):
-            if a.tolist() != b:
-                raise ValueError(f"ids differ from the sentencepiece library's for a text of {len(text)} characters: {text[:80]!r}")
+        if self.theirs is None:
+            self.theirs = sentencepiece.SentencePieceProcessor(model_file=self.path)
+        for at in range(0, len(texts), CHECKED):
+            some = texts[at : at + CHECKED]
+            for text, a, b in zip(some, self.encode(some), self.theirs.encode(some, num_threads=1), strict=True):
+                if a.tolist() != b:
+                    raise ValueError(f"ids differ from the sentencepiece library's for a text of {len(text)} characters: {text[:80]!r}")
+                yield a
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids array<int>`` of every row."""
 
     def encode(batches):
-        encoder, checked = PieceEncoder.of(path), False
+        encoder = PieceEncoder.of(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            if not checked:
-                encoder.verify([t for t in texts[:CHECKED] if len(t) <= CHECKED_CHARS])
-                checked = True
-            ids = [i.astype(np.int32) for i in encoder.encode(texts)]
+            ids = [i.astype(np.int32) for i in encoder.verified(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return documents_view(docs).mapInArrow(encode, "doc_id long, ids array<int>")
@@ -207,15 +207,12 @@ def round_trip_digest(docs: DataFrame, path: str) -> DataFrame:
     import hashlib
 
     def run(batches):
-        encoder, checked = PieceEncoder.of(path), False
+        encoder = PieceEncoder.of(path)
         is_byte = np.array([t == BYTE for _, _, t in encoder.model.pieces])
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            if not checked:
-                encoder.verify([t for t in texts[:CHECKED] if len(t) <= CHECKED_CHARS])
-                checked = True
             for at in range(0, len(texts), 256):
-                ids = list(encoder.encode(texts[at : at + 256]))
+                ids = list(encoder.verified(texts[at : at + 256]))
                 back = encoder.decode(ids)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).slice(at, 256), "n_ids": pa.array([len(i) for i in ids], pa.int64()),

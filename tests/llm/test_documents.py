@@ -321,3 +321,14 @@ def test_pieces(odd, none):
     for i, t in texts.items():
         assert digest[i].n_ids == len(ids[i]) and digest[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
     assert pieces.encode_documents(none, path).collect() == []
+
+
+def test_pieces_verify_every_text(monkeypatch):
+    encoder = pieces.PieceEncoder(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [f"text {i}" for i in range(200)] + ["a long text " * 1000, "odd"]
+    assert [i.tolist() for i in encoder.verified(texts)] == [i.tolist() for i in encoder.encode(texts)]
+    plain = encoder.encode
+    for bad in texts[150], texts[200], "odd":
+        monkeypatch.setattr(encoder, "encode", lambda some, bad=bad: (i[:-1] if t == bad else i for t, i in zip(some, plain(some))))
+        with pytest.raises(ValueError, match="ids differ"):
+            list(encoder.verified(texts))
