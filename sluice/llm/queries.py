@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sluice.llm import chat, html, line_dedup, minhash, nearest, packing, pieces, pii, quality, token_files
+from sluice.llm import centroids, chat, html, line_dedup, minhash, mixing, nearest, packing, pieces, pii, quality, ranked, token_files
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(_table(spark, sf_dir, "embeddings"))
+
+
 OP10_SQL = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -175,6 +187,65 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_
 FROM failed
 """
 
+OP12_SQL = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents
+), counted AS (
+  SELECT r, any_value(doc_id) AS doc_id, any_value(len(w)) AS n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, w, unnest(w) AS term FROM found) GROUP BY r, term
+), whole AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM found WHERE len(w) > 0
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM counted, whole GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), scored AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // terms))))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counted USING (term), whole GROUP BY item_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+def _op13_sql(rounds: int = 3) -> str:
+    """The rounds of assigning and moving, one after the other."""
+    with_ = [r"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(64 * x) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, e) - 1 AS k, e AS c
+  FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v WHERE vec_id IS NOT NULL ORDER BY h, e LIMIT 16)
+)"""]
+    for i in range(rounds + 1):
+        with_.append(f"""d{i} AS (
+  SELECT r, vec_id, e, k, c, CAST(list_sum(list_transform(list_zip(e, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+  FROM v, c{i}
+), a{i} AS MATERIALIZED (
+  SELECT r, vec_id, e, k, c, distance FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, k) = 1
+)""")
+        with_.append(f"""s{i} AS (
+  SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT k, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM a{i}) GROUP BY k, i
+), c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.k, coalesce(m.c, c{i}.c) AS c
+  FROM c{i} LEFT JOIN (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{i} GROUP BY k) m ON m.k = c{i}.k
+)""") if i < rounds else None
+    return "WITH " + ", ".join(with_) + f"""
+SELECT vec_id, CAST(k AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+OP13_SQL = _op13_sql()
+
 QUERIES: dict[str, tuple[Build, str | None]] = {
     "op1_minhash_dedup": (op1_minhash_dedup, OP1_SQL),
     "op2_nearest_neighbours": (op2_nearest_neighbours, OP2_SQL),
@@ -186,5 +257,8 @@ QUERIES: dict[str, tuple[Build, str | None]] = {
     "op8_quality_rules": (op8_quality_rules, OP8_SQL),
     "op9_chat_format": (op9_chat_format, OP9_SQL),
     "op10_line_dedup": (op10_line_dedup, OP10_SQL),
+    "op11_lm_scoring": (op11_lm_scoring, None),
+    "op12_ranked_search": (op12_ranked_search, OP12_SQL),
+    "op13_centroids": (op13_centroids, OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
