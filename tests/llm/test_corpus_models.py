@@ -55,8 +55,8 @@ def _slow_key(data, i, k):
     """Hashed context of byte ``i`` in plain integers."""
     mask, m = (1 << 32) - 1, [int(x) for x in mixing._MULTIPLY]
     before = bytes(mixing.LEAD) + data[:i]
-    if k < 3:
-        context = sum(before[-j] << 8 * (j - 1) for j in range(1, k + 3))
+    if k < 2:
+        context = sum(before[-j] << 8 * (j - 1) for j in range(1, k + 4))
     else:
         word = re.split(rb"[\0\x20\x09-\x0D]", before[-mixing.LEAD + 1 :])[-1]
         context, power = 0, 1
@@ -67,47 +67,66 @@ def _slow_key(data, i, k):
     return ((h ^ (h >> 15)) * m[k + 1] & mask) >> (32 - mixing.KEY_BITS)
 
 
+def _slow_steps(byte):
+    """``(what is known, half byte)`` for each step of a byte."""
+    usual = mixing.USUAL + bytes(sorted(set(range(256)) - set(mixing.USUAL)))
+    n = usual.index(byte)
+    if n < 12:
+        return [(0, n)]
+    if n < 60:
+        high, low = divmod(n - 12, 16)
+        return [(0, 12 + high), (13 + high, low)]
+    high, low = divmod(n - 60, 16)
+    return [(0, 15), (16, high), (17 + high, low)]
+
+
 def _slow_costs(training, texts):
     """The model bit by bit, with dictionaries; contexts that lose their block are unknown."""
     as_bytes = lambda t: _lower(t).encode() + bytes([mixing.END])
-    place = lambda key, byte, k: [(int(a[0]), int(c[0])) for a, c in mixing.places_of(np.array([key], np.uint32), np.array([byte], np.uint32), mixing.BLOCK_BITS[k])]
-    pairs = Counter((k, _slow_key(d, i, k), b) for d in map(as_bytes, training) for i, b in enumerate(d) for k in range(mixing.PREDICTORS))
-    met, users = Counter(), {}
-    for (k, key, b), n in pairs.items():
-        for half, (at, check) in enumerate(place(key, b, k)):
-            met[k, key, half, b >> 4 if half else 0] += n
-            users.setdefault((k, at), set()).add((k, key, half, b >> 4 if half else 0, check))
-    holder = {at: min(u, key=lambda x: (-met[x[:4]], x[2], x[1], x[3])) for at, u in users.items()}
-    counts = Counter()
-    for (k, key, b), n in pairs.items():
-        for half, (at, check) in enumerate(place(key, b, k)):
-            if holder[k, at][:4] == (k, key, half, b >> 4 if half else 0):
-                for j in range(4):
-                    known = (1 << j) | ((b >> 4 if half == 0 else b & 15) >> (4 - j))
-                    counts[k, at, known, (b >> (7 - 4 * half - j)) & 1] += n
+
+    def place(key, known, k):
+        at, check = mixing.places_of(np.array([key], np.uint32), np.array([known], np.uint32), mixing.BLOCK_BITS[k])
+        return int(at[0]), int(check[0])
+
+    met, seen = Counter(), Counter()
+    for d in map(as_bytes, training):
+        for i, b in enumerate(d):
+            for k in range(mixing.PREDICTORS):
+                key = _slow_key(d, i, k)
+                for step, (known, half) in enumerate(_slow_steps(b)):
+                    met[k, key, known, step] += 1
+                    seen[k, key, known, half] += 1
+    users = {}
+    for k, key, known, step in met:
+        users.setdefault((k, place(key, known, k)[0]), []).append((-met[k, key, known, step], step, key, known))
+    holder = {at: min(u) for at, u in users.items()}
     out = []
     for data in map(as_bytes, texts):
-        weights = np.array([[list(mixing.START[g]) for g in range(mixing.GATES)] for _ in range(8)])
+        weights = np.array([[list(mixing.START[g]) for g in range(mixing.GATES)] for _ in range(4)])
         nats, at, size = 0.0, 0, mixing.FIRST_BLOCK
-        while at < len(data):
-            to = min(at + size, len(data), (at // mixing.PIECE + 1) * mixing.PIECE)
+        steps = [(i, *s) for i, b in enumerate(data) for s in _slow_steps(b)]
+        ends = [n for n, (i, *_) in enumerate(steps) if n and i != steps[n - 1][0] and i % mixing.PIECE == 0] + [len(steps)]
+        while at < len(steps):
+            to = min(at + size, next(e for e in ends if e > at))
             moves = np.zeros_like(weights)
-            for i in range(at, to):
-                b = data[i]
-                for j in range(8):
+            for i, known, half in steps[at:to]:
+                held = []
+                for k in range(mixing.PREDICTORS):
+                    key = _slow_key(data, i, k)
+                    where, check = place(key, known, k)
+                    mine = holder.get((k, where))
+                    held.append(mine and place(mine[2], mine[3], k)[1] == check and mine)
+                gate = sum(-held[-1][0] >= m for m in mixing.MET) if held[-1] else 0
+                for j in range(4):
                     x = []
-                    for k in range(mixing.PREDICTORS):
-                        where, check = place(_slow_key(data, i, k), b, k)[j // 4]
-                        mine = holder.get((k, where))
-                        gate = 0
-                        if mine is None or mine[4] != check:
-                            x.append(0.0)
-                            continue
-                        gate = sum(met[mine[:4]] >= m for m in mixing.MET)
-                        known = (1 << (j % 4)) | ((b >> 4 if j < 4 else b & 15) >> (4 - j % 4))
-                        odds = math.log((counts[k, where, known, 1] + mixing.PRIOR) / (counts[k, where, known, 0] + mixing.PRIOR))
+                    for k, mine in enumerate(held):
+                        n = [0, 0]
+                        for h in range(16) if mine else ():
+                            if h >> (4 - j) == half >> (4 - j):
+                                n[(h >> (3 - j)) & 1] += seen[k, mine[2], mine[3], h]
+                        odds = math.log((n[1] + mixing.PRIOR) / (n[0] + mixing.PRIOR))
                         x.append(max(-127, min(127, round(mixing.SCALE * odds))) / mixing.SCALE)
-                    bit, z = (b >> (7 - j)) & 1, float(np.dot(weights[j, gate], x))
+                    bit, z = (half >> (3 - j)) & 1, float(np.dot(weights[j, gate], x))
                     p = 1 / (1 + math.exp(-z))
                     nats -= math.log(p if bit else 1 - p)
                     moves[j, gate] += (bit - p) * np.array(x)
@@ -118,7 +137,7 @@ def _slow_costs(training, texts):
 
 
 def test_lm_base_and_model_match_brute_force(docs, none, monkeypatch):
-    monkeypatch.setattr(mixing, "BLOCK_BITS", (8, 9, 9, 10))  # contexts must fight for blocks
+    monkeypatch.setattr(mixing, "BLOCK_BITS", (8, 9, 10))  # contexts must fight for blocks
     monkeypatch.setattr(mixing, "KEPT_PAIRS", 2000)
     monkeypatch.setattr(mixing, "KEPT_WORDS", 50)
     monkeypatch.setattr(mixing, "PIECE", 300)
@@ -148,10 +167,10 @@ def test_lm_base_and_model_match_brute_force(docs, none, monkeypatch):
     assert mixing.score(none).collect() == []
 
 
-def test_lm_without_training_rows_costs_a_bit_a_bit(spark):
+def test_lm_without_training_rows_costs_a_bit_a_decision(spark):
     held = [i for i in range(100) if _held(i)][:3]
     rows = mixing.score(spark.createDataFrame([(i, "abc") for i in held], "doc_id long, text string")).collect()
-    assert [(r.n_known, r.train_tokens, r.base_score, r.bits_per_byte) for r in rows] == [(0, 0, 0.0, pytest.approx(8.0))] * 3
+    assert [(r.n_known, r.train_tokens, r.base_score, r.bits_per_byte) for r in rows] == [(0, 0, 0.0, pytest.approx(7.0))] * 3  # a takes one step, b, c and the end two
 
 
 def test_lm_learns_what_held_out_texts_are_made_of(spark):
