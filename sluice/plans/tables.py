@@ -24,13 +24,17 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
             table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, or one in the warehouse where none is set."""
+    return checkpoint_dir(spark, default=os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint dir.
 
     A session without one (a local run) gets a folder in the warehouse, which is shared as well.
     """
-    base = checkpoint_dir(spark, default=os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"))
-    return os.path.join(base, "sluice-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(shared_base(spark), "sluice-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -38,22 +38,25 @@ def get_session(master: str | None = None, app: str = "sluice", shuffle_partitio
     return spark
 
 
+# default folders that were installed, by application: the setting itself is static in a running session
+_INSTALLED: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    The value is read from the session. Only when it is unset (local tests) is a
-    default installed, so on a cluster jobs always write to the shared folder.
+    The value is read from the session. Only when it is unset (local runs, tests) is ``default``
+    installed, so on a cluster jobs always write to the shared folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _INSTALLED.get(context.applicationId)
     if not d:
-        if default is None:
+        if default is None and context.getCheckpointDir() is None:
             raise RuntimeError("spark.checkpoint.dir is not set; pass default= for a local run")
-        d = default
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        # a folder that the caller set for checkpoint() is shared as well
+        d = _INSTALLED[context.applicationId] = default if context.getCheckpointDir() is None else context.getCheckpointDir()
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(d)
     return d
 
 
