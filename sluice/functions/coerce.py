@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.charsets import plain_name
+
 # ---- fixed values (must equal the reference's rules) --------------------------------
 ROUNDING_MODES = ("ceiling", "down", "floor", "halfdown", "halfeven", "halfup", "unnecessary", "up")
 DEFAULT_ROUNDING = "up"
@@ -87,8 +90,21 @@ def render_date(c: Column | str) -> Column:
 
 
 def reencode(c: Column | str, from_charset: str, to_charset: str = "UTF-8") -> Column:
-    """Reinterpret a string's bytes from one charset as another."""
-    return F.decode(F.encode(_c(c), from_charset), to_charset)
+    """Reinterpret a string's bytes from one charset as another.
+
+    What a charset cannot say becomes a question mark, malformed bytes U+FFFD. Charsets that Spark
+    itself knows stay in the JVM; others go through Arrow batches, so no session setting is needed.
+    """
+    names = [plain_name(from_charset), plain_name(to_charset)]
+    if names[0] in ("utf-8", "utf-16le", "utf-16be", "utf-32") and names[1] in ("iso-8859-1", "utf-8"):
+        back = F.encode(_c(c), from_charset)
+        return F.make_valid_utf8(back.cast("string")) if names[1] == "utf-8" else F.decode(back, to_charset)
+
+    @F.pandas_udf("string")
+    def through_bytes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t.encode(from_charset, "replace").decode(to_charset, "replace"), na_action="ignore")
+
+    return through_bytes(_c(c))
 
 
 def scrub_controls(c: Column | str, chars: str = CONTROL_CHARS) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,45 @@ def to_bulk_docs(index: str, doc_type: str | None = None, id_col: str | None = N
     return op
 
 
+# ---- fixed values: the limits of one bulk request ---------------------------------------
+MAX_ACTIONS = 10000
+MAX_BYTES = 5 * 1024 * 1024
+# -----------------------------------------------------------------------------------------
+
+
+def bulk_requests(df: DataFrame, max_actions: int = MAX_ACTIONS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``(action, doc)`` -> one row a bulk request: ``value`` (its NDJSON lines), ``n_docs``, ``n_bytes``.
+
+    Documents are taken in the order of their partition. A request is closed when one more would
+    bring it over either limit; bytes are those of the written lines, line feeds included. Only a
+    document that is larger than ``max_bytes`` by itself makes a larger request, alone. A task
+    holds one request at a time, and no row moves to another task.
+    """
+    if max_actions < 1 or max_bytes < 1:
+        raise ValueError("limits of a bulk request must be positive")
+
+    def run(batches):
+        lines: list[str] = []
+        size = 0
+
+        def closed():
+            return pa.RecordBatch.from_pydict({"value": pa.array(["\n".join(lines)], pa.string()), "n_docs": pa.array([len(lines)], pa.int64()),
+                                               "n_bytes": pa.array([size], pa.int64())})
+
+        for batch in batches:
+            for line, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if lines and (len(lines) >= max_actions or size + n > max_bytes):
+                    yield closed()
+                    lines, size = [], 0
+                lines.append(line)
+                size += n
+        if lines:
+            yield closed()
+
+    sized = bulk_lines(df).select("value", (F.octet_length("value") + 1).cast("long").alias("n"))
+    return sized.mapInArrow(run, "value string, n_docs long, n_bytes long")
+
+
 def bulk_lines(df: DataFrame) -> DataFrame:
     """``(action, doc)`` -> one text row holding both NDJSON lines (kept adjacent on write)."""
     return df.select(F.concat_ws("\n", "action", "doc").alias("value"))

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.delimiters import split_pattern, unescape_delim
 
@@ -174,6 +176,35 @@ def line_to_json(names: Sequence[str], index: Sequence[str | int], out: str = "v
     return op
 
 
+def map_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | T.StructType, columns: Sequence[str] | None = None) -> Transform:
+    """A user's processor over Arrow batches, with a declared result schema.
+
+    ``fn`` gets each batch of ``columns`` (default: all) and returns the batch that takes its place,
+    of any length; other columns never leave the JVM, so they are pruned from the scan. What it
+    returns is matched to ``schema`` by name and cast safely: a missing column, or a value that
+    does not fit, fails the task. A batch is all that a task holds. Works on streams, too.
+    """
+
+    def op(df: DataFrame) -> DataFrame:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        wanted = to_arrow_schema(declared)
+
+        def run(batches):
+            for batch in batches:
+                out = fn(batch)
+                for part in [out] if isinstance(out, pa.RecordBatch) else out.combine_chunks().to_batches():
+                    missing = [n for n in wanted.names if n not in part.schema.names]
+                    if missing:
+                        raise ValueError(f"the processor returned {part.schema.names}, without {missing}")
+                    yield pa.RecordBatch.from_arrays([part.column(n).cast(wanted.field(n).type) for n in wanted.names], names=wanted.names)
+
+        return (df.select(*columns) if columns else df).mapInArrow(run, declared)
+
+    return op
+
+
 def console(n: int = 20, truncate: bool = False) -> Transform:
     """P10: print the schema and the first ``n`` rows, pass the frame through."""
 

@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -38,6 +40,35 @@ def observe_transfer(df: DataFrame, name: str, line_col: str | None = None) -> t
     return observed, obs
 
 
+class StepCounter:
+    """Counts rows at the steps of one plan: a named observation each, no extra pass."""
+
+    def __init__(self, target: str):
+        self.target, self.seen = target, []
+
+    def source(self, df: DataFrame, name: str) -> DataFrame:
+        return self._count(df, f"source {name}", [])
+
+    def after(self, df: DataFrame, name: str, before: list[int]) -> DataFrame:
+        """``before``: the numbers of the steps whose rows this one gets."""
+        return self._count(df, name, before)
+
+    def _count(self, df: DataFrame, step: str, before: list[int]) -> DataFrame:
+        obs = Observation(f"{self.target}: {len(self.seen)} {step} {uuid.uuid4().hex[:8]}")
+        self.seen.append((step, obs, before))
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    @property
+    def last(self) -> int:
+        return len(self.seen) - 1
+
+    def counts(self) -> list[StepCount]:
+        """Once the target is written. A branch that the optimizer proves empty is not run: all 0."""
+        rows = [int(observed_metrics(obs, self.target).get("rows", 0)) for _, obs, _ in self.seen]
+        return [StepCount(self.target, step, sum(rows[b] for b in before) if before else n, n)
+                for (step, _, before), n in zip(self.seen, rows)]
+
+
 def observed_metrics(obs: Observation, name: str, seconds: float = OBSERVED_WITHIN) -> dict:
     """The observation's metrics; fails if no DataFrame action on the frame delivers them in time.
 
@@ -45,7 +76,14 @@ def observed_metrics(obs: Observation, name: str, seconds: float = OBSERVED_WITH
     observation, and ``Observation.get`` would wait for it forever.
     """
     found: list[dict] = []
-    waiter = threading.Thread(target=lambda: found.append(obs.get), daemon=True)
+
+    def fetch():
+        try:
+            found.append(obs.get)
+        except Py4JJavaError:
+            found.append({})  # the optimizer proved that no row comes here, and left the count out
+
+    waiter = threading.Thread(target=fetch, daemon=True)
     waiter.start()
     waiter.join(seconds)
     if not found:
@@ -80,9 +118,25 @@ class TargetStats:
         return self.chars / self.seconds if self.seconds > 0 else 0.0
 
 
+@dataclass
+class StepCount:
+    """Rows before and after one step of the way to a target; a source has as many as it gives."""
+
+    target: str
+    step: str
+    rows_in: int
+    rows_out: int
+
+    @property
+    def dropped(self) -> int:
+        """Rows that the step left out; below zero if it made more of them."""
+        return self.rows_in - self.rows_out
+
+
 @dataclass
 class Report:
     targets: list[TargetStats] = field(default_factory=list)
+    steps: list[StepCount] = field(default_factory=list)
     started: float = field(default_factory=time.time)
 
     @property
@@ -93,6 +147,17 @@ class Report:
     def total_chars(self) -> int:
         return sum(t.chars for t in self.targets)
 
+    def rows_in(self, target: str) -> int:
+        """Rows that the target's sources gave (counted steps only)."""
+        return sum(s.rows_out for s in self.steps if s.target == target and s.step.startswith("source "))
+
+    def dropped(self, target: str) -> int:
+        return sum(s.dropped for s in self.steps if s.target == target)
+
+    def reconciled(self) -> bool:
+        """Whether for every target the rows read are those dropped on the way and those written."""
+        return all(self.rows_in(t.target) == self.dropped(t.target) + t.rows for t in self.targets)
+
     def as_rows(self) -> list[dict]:
         return [{"target": t.target, "rows": t.rows, "chars": t.chars, "seconds": round(t.seconds, 3),
                  "rows_per_sec": round(t.rows_per_sec, 1), "chars_per_sec": round(t.chars_per_sec, 1)}

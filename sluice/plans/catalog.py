@@ -73,13 +73,12 @@ def q_split_line(spark, sf_dir):
 
 
 @query("add_field_before_after", """
-SELECT 'r' || CAST(n_regionkey AS VARCHAR) AS region_tag, n_nationkey, n_name, 'x' AS tag, n_regionkey
-FROM nation
+SELECT 'c' || CAST(o_custkey AS VARCHAR) AS customer_tag, o_orderkey, o_orderstatus, 'x' AS tag, o_custkey FROM orders
 """)
 def q_add_field(spark, sf_dir):
-    return (table(spark, sf_dir, "nation")
-            .transform(P.add_field("tag", F.lit("x"), after="n_name"))
-            .transform(P.add_field("region_tag", "concat('r', n_regionkey)", before="n_nationkey")))
+    return (table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+            .transform(P.add_field("tag", F.lit("x"), after="o_orderstatus"))
+            .transform(P.add_field("customer_tag", "concat('c', o_custkey)", before="o_orderkey")))
 
 
 @query("filter_remove_field", "SELECT p_partkey, p_brand, p_size FROM part")
@@ -284,9 +283,17 @@ def q_coerce_fields(spark, sf_dir):
                         F.date_format("d", "yyyy-MM-dd HH:mm:ss").alias("d"))
 
 
-@query("scrub_controls", "SELECT doc_id, replace(replace(text, chr(1), ''), chr(2), '') AS text FROM documents")
+@query("scrub_controls", """
+SELECT doc_id, replace(replace(text, chr(1), ''), chr(2), '') || ' a|b' AS text,
+       CAST(length(text) - length(replace(text, ' ', '')) + 2 AS BIGINT) AS planted
+FROM documents
+""")
 def q_scrub(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", C.scrub_controls("text").alias("text"))
+    """Control characters are planted beside every space of the text, and at its end."""
+    marked = F.concat(F.replace("text", F.lit(" "), F.lit("\u0001 ")), F.lit("\u0002 a\u0001|b"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", marked.alias("marked"))
+    planted = (F.char_length("marked") - F.char_length(C.scrub_controls("marked"))).cast("bigint")
+    return docs.select("doc_id", C.scrub_controls("marked").alias("text"), planted.alias("planted"))
 
 
 @query("encode_nulls", r"""

@@ -103,13 +103,18 @@ def q_bulk_null_id(spark, sf_dir):
 
 
 @query("scan_sql_comments", """
-SELECT n_name AS a FROM nation UNION ALL SELECT r_name FROM region UNION ALL SELECT '3'
+SELECT o_orderstatus || ';' AS a, o_orderkey AS k FROM orders
+UNION ALL SELECT l_returnflag, l_orderkey FROM lineitem WHERE l_linenumber = 1
+UNION ALL SELECT o_orderpriority || '-- not; a /* comment', o_orderkey FROM orders WHERE o_orderkey % 5 = 0
 """)
 def q_sql_comments(spark, sf_dir):
-    register_views(spark, sf_dir, ["nation", "region"])
-    return scan_sql(spark, """-- names first
-SELECT n_name AS a FROM nation; /* then regions */ (SELECT r_name FROM region); CREATE OR REPLACE TEMP VIEW sluice_three AS SELECT 3 AS x;
-SELECT(CAST(x AS STRING)) FROM sluice_three; -- the end""")
+    """Semicolons in comments and quotes end no statement."""
+    register_views(spark, sf_dir, ["orders", "lineitem"])
+    return scan_sql(spark, r"""-- orders first; then lines
+SELECT o_orderstatus || ';' AS a, o_orderkey AS k FROM orders; /* then; /* nested; */ lines */
+(SELECT /*+ REPARTITION(4) */ l_returnflag, l_orderkey FROM lineitem WHERE l_linenumber = 1);
+CREATE OR REPLACE TEMP VIEW sluice_fifth AS SELECT o_orderpriority AS p, o_orderkey AS k FROM orders WHERE o_orderkey % 5 = 0;
+SELECT(concat(p, "-- not\; a /* comment")), k FROM sluice_fifth; -- the end""")
 
 
 @query("table_partition_padded", "SELECT o_orderkey FROM orders WHERE month(o_orderdate) = 1")
@@ -140,12 +145,12 @@ def q_numeric_wide(spark, sf_dir):
 
 
 @query("validate_newline", """
-SELECT r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN 'v:regex' ELSE '' END AS errors FROM region
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'v:regex' ELSE '' END AS errors FROM orders
 """)
 def q_validate_newline(spark, sf_dir):
-    value = F.when(F.col("r_regionkey") % 2 == 0, F.concat("r_name", F.lit("\n"))).otherwise(F.col("r_name"))
-    rows = table(spark, sf_dir, "region").select("r_regionkey", value.alias("v"))
-    return rows.transform(check_fields({"v": [("regex", "[A-Z ]+")]})).select("r_regionkey", F.array_join("_errors", ";").alias("errors"))
+    value = F.when(F.col("o_orderkey") % 2 == 0, F.concat("o_orderpriority", F.lit("\n"))).otherwise(F.col("o_orderpriority"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", value.alias("v"))
+    return rows.transform(check_fields({"v": [("regex", "[A-Z0-9 -]+")]})).select("o_orderkey", F.array_join("_errors", ";").alias("errors"))
 
 
 @query("cells_latest", """
@@ -159,9 +164,9 @@ def q_cells_latest(spark, sf_dir):
     return cells.transform(cells_to_rows("f", "last", ts_col="version"))
 
 
-@query("scan_glob_space", "SELECT n_name AS value FROM nation")
+@query("scan_glob_space", "SELECT CAST(event_id AS VARCHAR) AS value FROM events")
 def q_glob_space(spark, sf_dir):
     """A ``**`` pattern below a folder with a space and a plus sign in its name."""
     root = scratch_path(spark, "glob")
-    table(spark, sf_dir, "nation").select("n_name").write.text(f"{root}/a b+c/d")
+    table(spark, sf_dir, "events").select(F.col("event_id").cast("string")).write.text(f"{root}/a b+c/d")
     return scan_glob(spark, root, "**/part-*")

@@ -38,11 +38,14 @@ def q_delimited_roundtrip(spark, sf_dir):
     return scan_delimited(spark, path, CUSTOMER_TEXT, "\\001")
 
 
-@query("charset_roundtrip", _CUSTOMER_TEXT_SQL)
+@query("charset_roundtrip", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ' 中文字é€' AS c_name, c_mktsegment FROM customer
+""")
 def q_charset_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "gbk")
-    write_delimited(table(spark, sf_dir, "customer"), path, "\\t", cols=CUSTOMER_TEXT, encode="GBK")
-    return scan_delimited(spark, path, CUSTOMER_TEXT, "\\t", encode="GBK")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(" 中文字é€")).alias("c_name"), "c_mktsegment")
+    write_delimited(rows, path, "\\t", encode="GBK")
+    return scan_delimited(spark, path, ["c_custkey", "c_name", "c_mktsegment"], "\\t", encode="GBK")
 
 
 PART_FIELDS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
@@ -118,23 +121,33 @@ def q_documents_roundtrip(spark, sf_dir):
     return spark.read.schema("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double").json(path)
 
 
-@query("checksum_sidecar", None)
+@query("checksum_sidecar", """
+SELECT c_mktsegment AS segment,
+       md5(string_agg(c_custkey || chr(1) || c_name || chr(1) || c_nationkey || chr(10), '' ORDER BY c_custkey)) AS md5
+FROM customer GROUP BY c_mktsegment
+""")
 def q_checksum_sidecar(spark, sf_dir):
+    """One sorted file a segment, so that its sum is known beforehand."""
     path = scratch_path(spark, "md5")
-    write_delimited(table(spark, sf_dir, "customer"), path, "\\001", cols=CUSTOMER_TEXT)
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER_TEXT).repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
+    write_delimited(rows, path, "\\001", partition_cols=["c_mktsegment"])
     write_checksums(spark, path)
-    sidecars = scan_text(spark, path, name_glob="*.md5")
-    parts = F.split("value", " ")
-    return sidecars.select(parts.getItem(0).alias("md5"), parts.getItem(1).alias("name"))
+    sidecars = scan_text(spark, f"{path}/*/_md5/*.md5", with_path=True)
+    return sidecars.select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment"), F.split("value", " ").getItem(0).alias("md5"))
 
 
-@query("file_inventory", None)
+@query("file_inventory", """
+SELECT 'seq' AS dir, 'sequence' AS type, CAST(NULL AS BIGINT) AS bytes
+UNION ALL
+SELECT 'txt', 'unknown', CAST(sum(octet_length(encode(c_custkey || chr(9) || c_name || chr(9) || c_nationkey || chr(9) || c_mktsegment)) + 1) AS BIGINT) FROM customer
+""")
 def q_file_inventory(spark, sf_dir):
+    """Types of the files in two folders, and the bytes of the text files (a sequence file has marks of its own)."""
     path = scratch_path(spark, "inventory")
     write_sequence(table(spark, sf_dir, "part"), path + "/seq", key_field="p_partkey", cols=PART_FIELDS)
     write_delimited(table(spark, sf_dir, "customer"), path + "/txt", cols=CUSTOMER_TEXT)
-    return file_inventory(spark, path).select(
-        F.regexp_extract("path", r"/(seq|txt)/", 1).alias("dir"), "length", "type")
+    found = file_inventory(spark, path).withColumn("dir", F.regexp_extract("path", r"/(seq|txt)/", 1))
+    return found.groupBy("dir", "type").agg(F.sum(F.when(F.col("dir") == "txt", F.col("length"))).alias("bytes"))
 
 
 def _job_report(spark, sf_dir):

@@ -13,15 +13,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from sluice.functions.coerce import cast_strict
-from sluice.operators.documents import bulk_lines
+from sluice.operators.documents import MAX_ACTIONS, MAX_BYTES, bulk_requests
 
 
 def write_bulk(docs: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None,
-               max_actions: int | None = 10000) -> None:
-    """NDJSON bulk files of at most ``max_actions`` documents each (one bulk request per file)."""
-    w = bulk_lines(docs).write.mode(mode)
-    if max_actions:
-        w = w.option("maxRecordsPerFile", str(max_actions))
+               max_actions: int | None = MAX_ACTIONS, max_bytes: int | None = MAX_BYTES) -> None:
+    """NDJSON bulk files, one bulk request each: at most ``max_actions`` documents and ``max_bytes`` bytes.
+
+    ``None`` lifts a limit; a request must fit in the memory of its task.
+    """
+    requests = bulk_requests(docs, max_actions or 1 << 62, max_bytes or 1 << 30)
+    w = requests.select("value").write.mode(mode).option("maxRecordsPerFile", "1")
     if compression:
         w = w.option("compression", compression)
     w.text(path)

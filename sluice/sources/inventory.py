@@ -53,6 +53,17 @@ def open_stream(uri: str, compression: str | None = None):
     return filesystem.open_input_stream(p, compression=compression)
 
 
+def open_file(uri: str):
+    """Open a file by URI for reads at any place."""
+    from pyarrow import fs
+
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return fs.LocalFileSystem().open_input_file(unquote(parsed.path))
+    filesystem, p = fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(p)
+
+
 def _open(uri: str):
     return open_stream(uri)
 

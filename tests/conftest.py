@@ -12,7 +12,7 @@ def spark():
     from sluice.session import checkpoint_dir, get_session
 
     s = get_session("local[4]", app="sluice-tests", shuffle_partitions=8,
-                    extra={"spark.ui.enabled": "false", "spark.sql.legacy.javaCharsets": "true"})
+                    extra={"spark.ui.enabled": "false"})
     s.sparkContext.setLogLevel("ERROR")
     # tests only: install a checkpoint dir when the session has none
     checkpoint_dir(s, default=tempfile.mkdtemp(prefix="sluice-ckpt-", dir="/tmp"))
