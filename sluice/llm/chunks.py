@@ -1,9 +1,10 @@
 """Fast exact encoding with the tokenizers library: distinct words once, whole texts by lookup.
 
 A token never crosses the start of a space that follows other text, so a text may be cut there
-and each piece encoded on its own. Pieces repeat; their ids are kept, up to a bounded number per
-Python worker, and a text's ids are the join of its pieces' ids. What is encoded is encoded by
-``encode_batch`` of the library.
+and each piece encoded on its own. Arrow cuts the texts of a batch and numbers their distinct
+pieces; only those are looked up or encoded, by ``encode_batch`` of the library, and a text's ids are
+gathered from its pieces' ids. Ids of pieces are kept, up to a number and a size per Python worker;
+pieces beyond that are encoded again in each batch that has them.
 """
 
 from __future__ import annotations
@@ -13,10 +14,17 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from tokenizers import Tokenizer
 
-KEEP = 800_000
+#: what a worker keeps: so many pieces, of so many characters in all, none longer than this
+KEEP = 600_000
+KEEP_CHARS = 16 << 20
+LONGEST = 256
+#: characters of text that are cut at a time
+GROUP = 8 << 20
 
 
 def worker_cache() -> dict:
@@ -33,13 +41,50 @@ _RUN = re.compile(r"\s\x20")
 _CUT = re.compile(r"(?<=\S)(?=\x20)")
 
 
+class _Pieces:
+    """Ids of pieces by number, in arrays that grow."""
+
+    def __init__(self, width: np.dtype):
+        self.number: dict[str, int] = {}
+        self.chars = self.used = 0
+        self.ends, self.odd, self.flat = np.zeros(1, np.int64), np.zeros(1, bool), np.empty(0, width)
+
+    def add(self, pieces: list[str], sizes: np.ndarray, flat: np.ndarray, odd: np.ndarray) -> int:
+        """Keep as many of the pieces as there is room for; how many."""
+        n = chars = 0
+        for p in pieces:
+            if len(self.number) + n >= KEEP or self.chars + chars + len(p) > KEEP_CHARS or len(p) > LONGEST:
+                break
+            n, chars = n + 1, chars + len(p)
+        if n:
+            first, tokens = len(self.number), int(sizes[:n].sum())
+            self.number.update(zip(pieces[:n], range(first, first + n)))
+            self.chars += chars
+            self.ends = _put(self.ends, first + 1, self.used + np.cumsum(sizes[:n]))
+            self.odd = _put(self.odd, first, odd[:n])
+            self.flat = _put(self.flat, self.used, flat[:tokens])
+            self.used += tokens
+        return n
+
+
+def _put(grown: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    if at + len(new) > len(grown):
+        grown = np.concatenate([grown[:at], np.zeros(max(at, len(new)) + 1024, grown.dtype)])
+    grown[at : at + len(new)] = new
+    return grown
+
+
 class ChunkEncoder:
-    """``kind``: "spaced" if a space belongs to the word after it, "plain" if white space is dropped."""
+    """``kind``: "spaced" if a space belongs to the word after it, "plain" if white space is dropped.
 
-    def __init__(self, tokenizer: Tokenizer, kind: str = "spaced", threads: bool = False):
-        self.tokenizer, self.kind, self.threads = tokenizer, kind, threads
+    ``check(pieces, ids)`` is called with all that is encoded; it raises, or returns for each piece
+    whether it could not say (``odd``).
+    """
+
+    def __init__(self, tokenizer: Tokenizer, kind: str = "spaced", threads: bool = False, check=None):
+        self.tokenizer, self.kind, self.threads, self.check = tokenizer, kind, threads, check
         self.width = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.kept = _Pieces(self.width)
 
     @classmethod
     def of(cls, path: str, kind: str) -> "ChunkEncoder":
@@ -49,29 +94,80 @@ class ChunkEncoder:
             loaded[path, kind] = cls(Tokenizer.from_file(path), kind)
         return loaded[path, kind]
 
-    def pieces(self, text: str) -> list[str]:
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts one after the other, and where each text's begin."""
         if self.kind == "plain":
-            return list(filter(None, text.replace("\n", " ").split(" ")))
-        if "\0" in text or _RUN.search(text):
-            return _CUT.split(text)
+            lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+            return lists.flatten(), lists.offsets.to_numpy()
+        slow = [i for i, t in enumerate(texts) if "\0" in t or _RUN.search(t)]
+        if slow:
+            texts = list(texts)
+            cut = {i: _CUT.split(texts[i]) for i in slow}
+            for i in slow:
+                texts[i] = ""
         # a mark before every space: the cut itself leaves the spaces where they are
-        cut = text.replace(" ", "\0 ").split("\0")
-        return cut if cut[0] else cut[1:]
-
-    def encode(self, texts: list[str], group: int = 512):
-        """Yield the ids of each text as an unsigned numpy array."""
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), " ", "\0 "), "\0")
+        if not slow:
+            return lists.flatten(), lists.offsets.to_numpy()
+        parts, sizes, at = [], np.diff(lists.offsets.to_numpy()), 0
+        for i in slow:
+            parts += [lists.slice(at, i - at).flatten(), pa.array(cut[i], pa.large_string())]
+            sizes[i], at = len(cut[i]), i + 1
+        parts.append(lists.slice(at).flatten())
+        return pa.concat_arrays(parts), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes, ids one after the other, and the odd ones of pieces that aren't kept."""
+        code, flat, sizes = "H" if self.width.itemsize == 2 else "I", [], []
+        odd = np.zeros(len(pieces), bool)
+        for a in range(0, len(pieces), 8192):
+            some = pieces[a : a + 8192]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            if self.check:
+                odd[a : a + 8192] = self.check(some, ids)
+            sizes += map(len, ids)
+            flat.append(np.frombuffer(array(code, [x for i in ids for x in i]), self.width))
+        return np.array(sizes, np.int64), np.concatenate([*flat, np.empty(0, self.width)]), odd
+
+    def marked(self, texts: list[str]):
+        """Yield ``(ids, odd)`` of each text: its ids, and whether one of its pieces is odd."""
         # one task is one core; the library's own threads would only spin beside Spark's
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if self.threads else "false"
-        known, code = self.kept, "H" if self.width.itemsize == 2 else "I"
-        for at in range(0, len(texts), group):
-            cut = [self.pieces(t) for t in texts[at : at + group]]
-            new = list(set().union(*cut).difference(known))
-            full = len(known) + len(new) > KEEP
-            extra: dict[str, bytes] = {} if full else known
-            for a in range(0, len(new), 8192):
-                some = new[a : a + 8192]
-                for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    extra[p] = array(code, e.ids).tobytes()
-            find = (lambda p: known[p] if p in known else extra[p]) if full else known.__getitem__
-            for c in cut:
-                yield np.frombuffer(b"".join(map(find, c)), self.width)
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= GROUP):
+                size += len(texts[to])
+                to += 1
+            yield from self._group(texts[at:to])
+            at = to
+
+    def _group(self, texts: list[str]):
+        kept = self.kept
+        flat, offsets = self._cut(texts)
+        numbered = flat.dictionary_encode()
+        pieces, code = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        number = np.fromiter((kept.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        missing = np.flatnonzero(number < 0)
+        new = [pieces[i] for i in missing.tolist()]
+        sizes, ids, odd = self._encoded(new)
+        n = kept.add(new, sizes, ids, odd)
+        first = len(kept.number)
+        number[missing] = np.concatenate([np.arange(first - n, first), first + np.arange(len(new) - n)])
+        # what is kept, then what there was no room for
+        ends = np.concatenate([kept.ends[: first + 1], kept.used + np.cumsum(sizes[n:])])
+        source = np.concatenate([kept.flat[: kept.used], ids[sizes[:n].sum() :]]) if n < len(new) else kept.flat
+        strange = np.concatenate([kept.odd[:first], odd[n:]])
+        number = number[code]
+        start = ends[number]
+        size = ends[number + 1] - start
+        after = np.concatenate([[0], np.cumsum(size)])
+        out = source[np.repeat(start - after[:-1], size) + np.arange(after[-1])]
+        tokens, strange = after[offsets], np.concatenate([[0], np.cumsum(strange[number])])[offsets]
+        for i in range(len(texts)):
+            yield out[tokens[i] : tokens[i + 1]], bool(strange[i + 1] > strange[i])
+
+    def encode(self, texts: list[str]):
+        """Yield the ids of each text as an unsigned numpy array."""
+        for ids, _ in self.marked(texts):
+            yield ids

@@ -10,25 +10,27 @@ vocabulary needs. All numbers are little-endian::
     a closing newline
 
 Block offsets make any id reachable without reading what is before it, and a block unpacks in a
-few numpy calls. Documents are dealt by ranges of ``doc_id`` and sorted, so (part, shard) is their
-order. Files are written by Spark's own text sink, one row of raw bytes a file, so they are
+few numpy calls. Texts are encoded first, and their ids, which are smaller, are dealt by ranges of
+``doc_id`` and sorted, so (part, shard) is the order of documents. Files are written by Spark's own text sink, one row of raw bytes a file, so they are
 committed like any Spark output and may lie in any store that Spark reaches. They are read back with
 the ``binaryFile`` source. A shard has at most :data:`SHARD` ids unless one document has more.
 
 Defined cases: a NULL or empty text is the end id alone; rows that repeat a ``doc_id`` follow each
-other in the order of their texts; an empty table writes no shard.
+other in the order of their ids' bytes; an empty table writes no shard.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from sluice.llm.chunks import ChunkEncoder
 from sluice.llm.frames import documents_view, scratch_dir, store
@@ -97,24 +99,34 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, kind: str =
     """Encode every text, append ``end``, and write shard files below ``folder``."""
 
     def encode(batches):
+        encoder = ChunkEncoder.of(path, kind)
+        wide = "<u4" if max(encoder.tokenizer.get_vocab_size() - 1, end) >> 16 else "<u2"
+        for batch in batches:
+            found = encoder.encode(batch.column(1).to_pylist())
+            for at in range(0, len(batch), 1024):
+                ids = [np.append(i, end).astype(wide).tobytes() for i in islice(found, 1024)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1024), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    def lay(batches):
         from pyspark import TaskContext
 
-        encoder, part = ChunkEncoder.of(path, kind), TaskContext.get().partitionId()
-        bits = max(encoder.tokenizer.get_vocab_size() - 1, end, 1).bit_length()
+        top, part = max(Tokenizer.from_file(path).get_vocab_size() - 1, end, 1), TaskContext.get().partitionId()
         docs_, ids_, size, shard = [], [], 0, 0
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                if size and size + len(ids) >= shard_ids:
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array([shard_bytes(docs_, ids_, bits, part, shard)], pa.binary())})
+            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.frombuffer(data.as_buffer(), "<u4" if top >> 16 else "<u2")
+                if size and size + len(ids) > shard_ids:
+                    yield pa.RecordBatch.from_pydict({"shard": pa.array([shard_bytes(docs_, ids_, top.bit_length(), part, shard)], pa.binary())})
                     docs_, ids_, size, shard = [], [], 0, shard + 1
                 docs_.append(doc)
-                ids_.append(np.append(ids, end).astype("<u4" if bits > 16 else "<u2"))
-                size += len(ids) + 1
+                ids_.append(ids)
+                size += len(ids)
         if docs_:
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard_bytes(docs_, ids_, bits, part, shard)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard_bytes(docs_, ids_, top.bit_length(), part, shard)], pa.binary())})
 
-    sorted_docs = documents_view(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    shards = sorted_docs.mapInArrow(encode, "shard binary")
+    # stored, as dealing by ranges reads its input twice
+    encoded = store(documents_view(docs).mapInArrow(encode, "doc_id long, ids binary"), "encoded")
+    shards = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(lay, "shard binary")
     shards.select(F.col("shard").cast("string")).write.option("maxRecordsPerFile", 1).text(folder)
 
 
@@ -127,11 +139,14 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 s = Shard(data.as_py())
                 for at in range(0, len(s.docs), 512):
                     some = slice(at, at + 512)
-                    ids = [s.ids(a, n).astype(np.int32) for a, n in zip(s.first[some].tolist(), s.sizes[some].tolist())]
+                    sizes = s.sizes[some]
+                    # neighbours share blocks, and a block is unpacked once for all of them
+                    flat = s.ids(int(s.first[at]), int(sizes.sum())).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
                     m = len(ids)
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": pa.array([None if d == NO_ID else d for d in s.docs[some].tolist()], pa.int64()),
-                        "first": pa.array(s.first[some]), "n_tokens": pa.array(s.sizes[some]), "ids": pa.array(ids, pa.list_(pa.int32())),
+                        "first": pa.array(s.first[some]), "n_tokens": pa.array(sizes), "ids": ids,
                         "part": pa.array([s.part] * m, pa.int64()), "shard": pa.array([s.shard] * m, pa.int64()),
                         "shard_ids": pa.array([s.n_ids] * m, pa.int64())})
 
@@ -153,8 +168,12 @@ def token_digest(docs: DataFrame, path: str, end: int, kind: str = "spaced") ->
     write_tokens(docs, folder, path, end, kind)
     rows = store(read_tokens(spark, folder).mapInArrow(
         _checked, "doc_id long, first long, n_tokens long, part long, shard long, shard_ids long, ids_crc32 long"), "digest")
-    # one row a file, as many as the file listing has
+    # running sums within a part, and over the parts, of which there is one a task of the writer
     shards = rows.groupBy("part", "shard").agg(F.max("shard_ids").alias("shard_ids"))
-    before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = shards.select("part", "shard", F.coalesce(F.sum("shard_ids").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    parts = shards.groupBy("part").agg(F.sum("shard_ids").alias("part_ids"))
+    over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("part_ids").over(over), F.lit(0)).alias("part_before"))
+    shards = (shards.withColumn("shard_before", F.coalesce(F.sum("shard_ids").over(within), F.lit(0))).join(parts, "part")
+              .select("part", "shard", (F.col("part_before") + F.col("shard_before")).alias("before")))
     return rows.join(shards, ["part", "shard"]).select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")

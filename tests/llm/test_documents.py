@@ -323,12 +323,88 @@ def test_pieces(odd, none):
     assert pieces.encode_documents(none, path).collect() == []
 
 
-def test_pieces_verify_every_text(monkeypatch):
+class _Wrong:
+    """A tokenizer that loses the last id of texts that hold a mark."""
+
+    def __init__(self, right, mark):
+        self.right, self.mark = right, mark
+
+    def encode_batch_fast(self, some, add_special_tokens):
+        class Cut:
+            def __init__(self, ids):
+                self.ids = ids
+
+        found = self.right.encode_batch_fast(some, add_special_tokens=add_special_tokens)
+        return [Cut(e.ids[:-1] if self.mark in t else e.ids) for t, e in zip(some, found)]
+
+    def get_vocab_size(self):
+        return self.right.get_vocab_size()
+
+
+@pytest.mark.parametrize("mark", ["word150", "long", "odd", "  two"])
+def test_pieces_verify_all_that_is_encoded(mark):
+    texts = [f"text word{i}" for i in range(200)] + ["a long text " * 1000, "odd", "  two spaces", " ", ""]
     encoder = pieces.PieceEncoder(public_tokenizers.path("piece_bpe_32k.model"))
-    texts = [f"text {i}" for i in range(200)] + ["a long text " * 1000, "odd"]
-    assert [i.tolist() for i in encoder.verified(texts)] == [i.tolist() for i in encoder.encode(texts)]
-    plain = encoder.encode
-    for bad in texts[150], texts[200], "odd":
-        monkeypatch.setattr(encoder, "encode", lambda some, bad=bad: (i[:-1] if t == bad else i for t, i in zip(some, plain(some))))
-        with pytest.raises(ValueError, match="ids differ"):
-            list(encoder.verified(texts))
+    theirs = encoder.library()
+    assert [i.tolist() for i in encoder.verified(texts)] == [theirs.encode(t) for t in texts]
+    encoder.chunks = pieces.ChunkEncoder(_Wrong(encoder.tokenizer, mark), check=encoder._check)
+    with pytest.raises(ValueError, match="ids differ"):
+        list(encoder.verified(texts))
+
+
+def _message(*fields):
+    """A protobuf message of ``(number, value)``: ints, floats, bytes or text."""
+    import struct
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    out = b""
+    for number, value in fields:
+        if isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, int):
+            out += varint(number << 3) + varint(value)
+        else:
+            value = value.encode() if isinstance(value, str) else value
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+    return out
+
+
+@pytest.mark.parametrize("inner", [False, True])
+@pytest.mark.parametrize("squeeze,dummy", [(0, 1), (1, 1), (0, 0), (1, 0)])
+def test_pieces_of_a_unigram_model(spark, tmp_path, inner, squeeze, dummy):
+    """A model file laid out by hand: scores, byte fallback, and a piece over a word's end or none."""
+    # no two ways to cut a word have the same score
+    words = {"▁": -3.017, "a": -4.033, "b": -4.171, "c": -4.259, "ab": -5.063, "bc": -5.219, "abc": -9.007, "▁a": -4.541, "▁ab": -6.089, "ca": -5.131, "▁bca": -7.523, "x": -6.311}
+    words |= {"c▁a": -5.507} if inner else {}
+    vocabulary = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(f"<0x{i:02X}>", 0.0, 6) for i in range(256)], *[(w, s, 1) for w, s in words.items()]]
+    model = b"".join(_message((1, _message((1, p), (2, s), (3, t)))) for p, s, t in vocabulary)
+    model += _message((2, _message((3, 1), (35, 1))), (3, _message((1, "identity"), (3, dummy), (4, squeeze), (5, 1))))
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model)
+    rng = random.Random(4)
+    texts = ["", " ", "abc", "a  b", " abcab ", "zé abc", "   ", None] + ["".join(rng.choices("aabbcc  x", k=rng.randint(1, 30))) for _ in range(200)]
+    theirs = pieces.PieceEncoder(str(path)).library()
+    got = pieces.encode_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), str(path)).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: theirs.encode(t or "") for i, t in enumerate(texts)}
+
+
+def test_encoder_with_little_room(monkeypatch):
+    from sluice.llm import chunks
+
+    texts = [t or "" for t in TEXTS.values()] + ODD
+    for name, kind in (("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "plain")):
+        path = public_tokenizers.path(name)
+        want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+        for keep, chars, group in ((400_000, 1 << 24, 1 << 22), (5, 1 << 24, 50), (400_000, 20, 700), (0, 0, 1)):
+            monkeypatch.setattr(chunks, "KEEP", keep)
+            monkeypatch.setattr(chunks, "KEEP_CHARS", chars)
+            monkeypatch.setattr(chunks, "GROUP", group)
+            encoder = chunks.ChunkEncoder(Tokenizer.from_file(path), kind)
+            for _ in range(2):
+                assert [i.tolist() for i in encoder.encode(texts)] == want
+            assert len(encoder.kept.number) <= keep and encoder.kept.chars <= chars
