@@ -85,6 +85,12 @@ class ChunkEncoder:
         self.tokenizer, self.kind, self.threads, self.check = tokenizer, kind, threads, check
         self.width = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.kept = _Pieces(self.width)
+        # byte-level vocabularies write a space as this letter: an id that begins with it begins a word
+        names = tokenizer.get_vocab() if kind == "spaced" and not check else {}
+        self.leads = None
+        if "Ġ" in names:
+            self.leads = np.zeros(max(names.values()) + 1, bool)
+            self.leads[[i for name, i in names.items() if name.startswith("Ġ")]] = True
 
     @classmethod
     def of(cls, path: str, kind: str) -> "ChunkEncoder":
@@ -118,6 +124,8 @@ class ChunkEncoder:
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sizes, ids one after the other, and the odd ones of pieces that aren't kept."""
+        if self.leads is not None and pieces and (found := self._together(pieces)):
+            return found
         code, flat, sizes = "H" if self.width.itemsize == 2 else "I", [], []
         odd = np.zeros(len(pieces), bool)
         for a in range(0, len(pieces), 8192):
@@ -129,6 +137,46 @@ class ChunkEncoder:
             flat.append(np.frombuffer(array(code, [x for i in ids for x in i]), self.width))
         return np.array(sizes, np.int64), np.concatenate([*flat, np.empty(0, self.width)]), odd
 
+    def _together(self, pieces: list[str]):
+        """As :meth:`_encoded`, many words to a call: they are cut again where a word begins.
+
+        Only words of a space and no further white space are joined, since then the joined text may be
+        cut where they meet. The number of cuts is checked.
+        """
+        plain = [p[:1] == " " and len(p) > 1 and len(p.split()) == 1 and len(p.split()[0]) == len(p) - 1 for p in pieces]
+        if not all(plain):
+            one = [p for p, x in zip(pieces, plain) if x]
+            if not one:
+                return None
+            (s1, f1, _), (s2, f2, _) = self._encoded(one), self._alone([p for p, x in zip(pieces, plain) if not x])
+            # back into the order of the pieces
+            plain = np.array(plain)
+            sizes = np.empty(len(pieces), np.int64)
+            sizes[plain], sizes[~plain] = s1, s2
+            from_first = np.repeat(plain, sizes)
+            flat = np.empty(int(sizes.sum()), self.width)
+            flat[from_first], flat[~from_first] = f1, f2
+            return sizes, flat, np.zeros(len(pieces), bool)
+        flat, starts, at = [], [], 0
+        joined = ["".join(pieces[a : a + 512]) for a in range(0, len(pieces), 512)]
+        for a in range(0, len(joined), 16):
+            for e in self.tokenizer.encode_batch_fast(joined[a : a + 16], add_special_tokens=False):
+                ids = np.array(e.ids, self.width)
+                flat.append(ids)
+                starts.append(np.flatnonzero(self.leads[ids]) + at)
+                at += len(ids)
+        starts = np.concatenate(starts)
+        if len(starts) != len(pieces):
+            return self._alone(pieces)
+        return np.diff(starts, append=at), np.concatenate(flat), np.zeros(len(pieces), bool)
+
+    def _alone(self, pieces: list[str]):
+        leads, self.leads = self.leads, None
+        try:
+            return self._encoded(pieces)
+        finally:
+            self.leads = leads
+
     def marked(self, texts: list[str]):
         """Yield ``(ids, odd)`` of each text: its ids, and whether one of its pieces is odd."""
         # one task is one core; the library's own threads would only spin beside Spark's
@@ -159,11 +207,10 @@ class ChunkEncoder:
         source = np.concatenate([kept.flat[: kept.used], ids[sizes[:n].sum() :]]) if n < len(new) else kept.flat
         strange = np.concatenate([kept.odd[:first], odd[n:]])
         number = number[code]
-        start = ends[number]
-        size = ends[number + 1] - start
-        after = np.concatenate([[0], np.cumsum(size)])
-        out = source[np.repeat(start - after[:-1], size) + np.arange(after[-1])]
-        tokens, strange = after[offsets], np.concatenate([[0], np.cumsum(strange[number])])[offsets]
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(source[: ends[-1]])).take(pa.array(number))
+        out, tokens = lists.flatten().to_numpy(), lists.offsets.to_numpy()[offsets]
+        strange = np.concatenate([[0], np.cumsum(strange[number])])[offsets] if strange.any() else np.zeros(len(offsets), np.int64)
+        tokens = tokens - tokens[0]
         for i in range(len(texts)):
             yield out[tokens[i] : tokens[i + 1]], bool(strange[i + 1] > strange[i])
 

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import struct
 import zlib
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -101,11 +100,12 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, kind: str =
     def encode(batches):
         encoder = ChunkEncoder.of(path, kind)
         wide = "<u4" if max(encoder.tokenizer.get_vocab_size() - 1, end) >> 16 else "<u2"
-        for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist())
-            for at in range(0, len(batch), 1024):
-                ids = [np.append(i, end).astype(wide).tobytes() for i in islice(found, 1024)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1024), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        last = np.array([end], wide).tobytes()
+        for whole in batches:
+            for at in range(0, len(whole), 2048):
+                batch = whole.slice(at, 2048)
+                ids = [i.astype(wide, copy=False).tobytes() + last for i in encoder.encode(batch.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     def lay(batches):
         from pyspark import TaskContext
