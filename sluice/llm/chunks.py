@@ -20,11 +20,11 @@ import tokenizers
 from tokenizers import Tokenizer
 
 #: what a worker keeps: so many pieces, of so many characters in all, none longer than this
-KEEP = 600_000
+KEEP = 300_000
 KEEP_CHARS = 16 << 20
 LONGEST = 256
 #: characters of text that are cut at a time
-GROUP = 8 << 20
+GROUP = 6 << 20
 
 
 def worker_cache() -> dict:
@@ -191,6 +191,8 @@ class ChunkEncoder:
             at = to
 
     def _group(self, texts: list[str]):
+        # what the last group took is returned before the next one asks for as much
+        pa.default_memory_pool().release_unused()
         kept = self.kept
         flat, offsets = self._cut(texts)
         numbered = flat.dictionary_encode()
