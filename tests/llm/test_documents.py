@@ -89,13 +89,32 @@ def test_near_duplicates(docs):
     assert got == _components(TEXTS)
 
 
-def test_near_duplicates_in_tiles_and_deep_regions(docs, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_near_duplicates_in_tiles(docs, monkeypatch, rounds):
     monkeypatch.setattr(minhash, "REGION", 3)
-    monkeypatch.setattr(minhash, "MAX_DEPTH", 6)
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
     assert got == _components(TEXTS)
 
 
+def test_near_duplicates_of_a_repeated_doc_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    near = lambda words: " ".join([*words[:-1], "end"])
+    rows = [(1, " ".join(base)), (2, near(base)), (2, " ".join(other)), (2, "x y z"), (9, near(other)), (7, "x y z"), (8, "p q r"), (8, "s t u")]
+    got = sorted(map(tuple, minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(1, 56, 1, True), (2, 56, 1, False), (7, 1, 1, False), (8, 1, 8, True), (9, 56, 1, False)]
+
+
+def test_near_duplicates_of_one_crowded_group(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = {i: " ".join([*words[: i % 190], f"x{i}", *words[i % 190 + 1 :]]) for i in range(400)}
+    texts |= {1000 + i: " ".join(words[:40] + [f"y{i}z{k}" for k in range(60)]) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs.repartition(5)).collect()}
+    assert got == _components(texts)
+
+
 def test_near_duplicates_edges(spark, none):
     assert minhash.near_duplicates(none).collect() == []
     rows = spark.createDataFrame([(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (7, "A b c d e f")], "doc_id long, text string")
