@@ -20,6 +20,7 @@ the text is taken from it, whatever the names around it. Names of noise (:data:`
 whole tokens of class, id and role) are only a prior next to the template: a text below them is
 template from one page in :data:`HINTED` on, if they hold no more than half of the text. Beyond that, outside articles, what such an element (or a
 form, or a header) holds goes as a zone, unless it holds most of the page's text that is no template.
+Containers named for reader comments (:data:`COMMENTS`) are zones within an article as well.
 
 Counts are map-side combined, so a hot host has no hot task; templates meet the pages by joins on
 the layout and on the host, salted :data:`SALTS` times.
@@ -27,8 +28,9 @@ the layout and on the host, salted :data:`SALTS` times.
 Text: character references decoded, white space within a block becomes one space, blocks in page
 order are joined by a newline. Defined cases: a NULL or empty page, or one without text, gives
 the empty text; a NULL or odd url is host ``""``; repeated rows each get their result and are
-copies of each other; unclosed and stray tags are closed as browsers do, a ``<`` that opens no tag
-is text. Trees are walked without recursion limits: nesting beyond :data:`DEEPEST` is flattened.
+copies of each other; paragraphs, list items, table cells and the head end where browsers end them
+(the head with the first text or element of a body), stray end tags are ignored, a ``<`` that opens
+no tag is text, and a formula's text stays in its sentence. Trees are walked without recursion limits: nesting beyond :data:`DEEPEST` is flattened.
 """
 
 from __future__ import annotations
@@ -52,8 +54,9 @@ DEEPEST = 200
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select object canvas audio video".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img td th label".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select object canvas audio video annotation annotation-xml".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img td th label "
+                   "math semantics mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msup msub msubsup mover munder munderover mtable mtr mtd".split())
 DROPPED = frozenset("head nav footer aside button dialog menu search".split())
 LIKELY = frozenset("form fieldset".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figure figcaption".split())
@@ -66,6 +69,7 @@ NOISE = frozenset(
     "footer masthead topbar comment comments disqus respond replies reactions share sharing social related recommended widget toolbar skip "
     "cookie-notice cookie-banner cookie-consent ad-banner ad-container site-header site-footer page-header page-footer main-nav site-nav nav-menu nav-bar "
     "skip-link comment-list comments-area related-posts social-share share-buttons sharing-buttons widget-area".split())
+COMMENTS = frozenset("comment comments comment-list comment-section comments-section comments-area disqus disqus_thread respond replies".split())
 FRAME = frozenset("body div section article main header footer nav aside form".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)>", re.S)
@@ -99,7 +103,8 @@ def _noise(tag: str, attributes: str, inside: bool, article: bool) -> int:
     """What the names of an element say; ``inside`` an article or main element, its own header stays.
 
     Names judge no html, body, article or main element (but an article within an article), and
-    within an article or for prose in a main element they are only a hint.
+    within an article or for prose in a main element they are only a hint. A container that is
+    named for reader comments is a zone anywhere.
     """
     if tag in ("html", "body", "main") or (tag == "article" and not article):
         return NO
@@ -108,8 +113,10 @@ def _noise(tag: str, attributes: str, inside: bool, article: bool) -> int:
     if tag == "header" or not attributes.strip():
         return NO
     names = _names(attributes)
-    if names.isdisjoint(NOISE) and (inside or "header" not in names):
+    if names.isdisjoint(NOISE | COMMENTS) and (inside or "header" not in names):
         return NO
+    if tag not in PROSE and not names.isdisjoint(COMMENTS):
+        return ZONE
     return HINT if (article and tag != "article") or (inside and tag in PROSE) else ZONE
 
 
@@ -123,6 +130,8 @@ def parse(html: str) -> Node:
         if run:
             text = " ".join(unescape("".join(run)).split())
             run.clear()
+            if text and stack[-1].tag == "head":
+                pop()
             if text and not any(n.dropped for n in stack):
                 stack[-1].kids.append(Node("", text))
 
@@ -164,6 +173,8 @@ def parse(html: str) -> Node:
         flush()
         if tag in VOID or tag == "html" or len(stack) >= DEEPEST:
             continue
+        if stack[-1].tag == "head":
+            pop()
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":

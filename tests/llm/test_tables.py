@@ -97,6 +97,20 @@ def test_html_names_are_a_prior_only(spark):
     assert got == {i: [f"Body of {i}"] + ["Plain"] * (i % 3 == 0) for i in range(12)}
 
 
+def test_html_implied_ends_comments_and_formulas():
+    page = "<html><head><title>x</title>{}<article><p>Body</p></article>"
+    for between in ("<body>", "", "<meta charset=utf-8><script>no()</script><body class=a>", "</head><body>"):
+        assert html.main_text(page.format(between), []) == "Body"
+    assert html.main_text("<head><title>x</title>Words <b>of</b> a body<p>more", []) == "Words of a body\nmore"
+    assert html.main_text("<head><style>p{}</style><link rel=x></head><p>only", []) == "only"
+    comments = "<article><p>A long body of text</p><{0} {1}><p>nice post!</p></{0}><p>its end</p></article>"
+    for tag, name in (("div", "class='post comments'"), ("section", "id=comments"), ("ol", "class=comment-list"), ("article", "class=comment")):
+        assert html.main_text(comments.format(tag, name), []) == "A long body of text\nits end"
+    assert html.main_text("<article><p class=comment>A remark</p><p>on text</p></article>", []) == "A remark\non text"
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='t'>x=2</annotation></semantics></math>"
+    assert html.main_text(f"<article><p>Let {formula} be a number</p></article>", []) == "Let x=2 be a number"
+
+
 def test_html_deep_and_broken_pages():
     assert html.main_text("<div>" * 5000 + "x" + "</div>" * 3, []) == "x"
     assert html.main_text("<p>a<p>b</b></i><li>c<li>d", []) == "a\nb\nc\nd"
