@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from sluice.session import checkpoint_dir
 
+#: Names this run's scratch folders, so that other jobs' are never taken for its own.
+RUN = uuid.uuid4().hex[:12]
+
 
 def numbered(df: DataFrame) -> DataFrame:
     """The same columns as ``c0, c1, ...``: safe to address whatever the real names are."""
@@ -46,7 +49,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     base = checkpoint_dir(spark, default=os.path.join(warehouse, "_checkpoints"))
-    return os.path.join(base, f"sluice-{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(base, f"sluice-{RUN}-{name}-{uuid.uuid4().hex[:12]}")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -58,11 +61,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete every scratch folder of this operator family; call it once results are written."""
+    """Delete the scratch folders of this run; call it once its results are written."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(os.path.dirname(scratch_dir(spark, "any")))
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(base):
         for found in fs.listStatus(base):
-            if found.getPath().getName().startswith("sluice-"):
+            if found.getPath().getName().startswith(f"sluice-{RUN}-"):
                 fs.delete(found.getPath(), True)

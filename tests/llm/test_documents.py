@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sluice.llm import line_dedup, minhash, packing, pieces, pii, quality, token_files
+from sluice.llm import frames, line_dedup, minhash, packing, pieces, pii, quality, token_files
 
 SCHEMA = "doc_id long, Text string, text string, doc_ID string, lang string, n_chars long, c0 int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -97,6 +97,17 @@ def test_near_duplicates_in_tiles(docs, monkeypatch, rounds):
     assert got == _components(TEXTS)
 
 
+def test_scratch_of_other_runs_stays(spark, monkeypatch):
+    monkeypatch.setattr(frames, "RUN", "other")
+    other = frames.store(spark.range(3), "mine")
+    monkeypatch.setattr(frames, "RUN", "this")
+    this = frames.store(spark.range(4), "mine")
+    frames.drop_scratch(spark)
+    assert other.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|does not exist"):
+        this.count()
+
+
 def test_near_duplicates_of_a_repeated_doc_id(spark):
     base = [f"w{i}" for i in range(60)]
     other = [f"v{i}" for i in range(60)]
