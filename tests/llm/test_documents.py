@@ -221,6 +221,17 @@ def test_quality_order_does_not_change_the_verdict(docs):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_quality_measures_only_what_the_cascade_reaches(docs):
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString()
+
+    kept = plan(quality.keep_good(docs))
+    # one filter over the text: no measure is a column of its own, each is written where its rule is
+    assert "Generate" not in kept and "n_word_kinds" not in kept and kept.count("Filter") == 1
+    measured = plan(quality.measured(frames.documents_view(docs)))
+    assert "n_repeat_words" in measured and "n_word_kinds" not in measured and "n_text_lines" not in measured
+
+
 def _brute_lines(texts):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
