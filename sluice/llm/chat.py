@@ -5,17 +5,19 @@ rendered as the assistant's and carry loss, the others' as named users' and carr
 turns (role ``system``) are the setting: they are rendered in every perspective, never learnt, and
 no participant. Turns are cut into segments of :data:`SEGMENT` turn numbers, and a segment with more
 rows than that (NULL or tied turn numbers) into parts of as many rows, so a conversation of any
-length becomes rows of bounded size, and no group holds a whole conversation. Every segment and part
-begins with all system turns of the ones before; other earlier turns are not repeated (the overlap
-is the setting only). Everything is DataFrame expressions; a hot conversation is split by segment
-and part, and its join by AQE.
+length becomes rows of at most twice as many turns, and no group holds a whole conversation. Every
+segment and part begins with the last :data:`SEGMENT` system turns of the ones before (all, if
+fewer); other earlier turns are not repeated (the overlap is the setting only), so output grows with
+the turns. System turns are numbered along their conversation by counts per range, and a segment
+meets those before it in blocks of as many numbers. Everything is DataFrame expressions; a hot
+conversation is split by segment and part, and its join by AQE.
 
 Output: ``conv_id, perspective, segment, n_turns, text, mask, n_masked, part, lead, start``.
 ``n_turns`` counts the segment's own turns. ``mask`` has the character ranges ``start-end`` (end
 exclusive, comma-joined) of what the assistant says, closing marker included; ``n_masked`` counts
 these characters. ``lead`` is the length of the repeated system turns, ``start`` the offset of what
 follows them in the whole dialogue: the texts without their lead, by segment and part, join to it.
-The registered query has the columns up to ``n_masked``.
+The registered query has the columns up to ``part``.
 
 Defined cases: a NULL role is the participant ``unknown``; a NULL text is empty; a NULL turn
 comes first, in segment -1; rows equal in all four columns count once; equal turns are ordered by
@@ -52,6 +54,41 @@ def _numbered(said: DataFrame, segment: int) -> DataFrame:
             .withColumn("part", F.floor((F.col("k") + F.col("earlier") - 1) / segment).cast("long")).drop("range", "k", "earlier"))
 
 
+def _before(frame: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
+    """``frame`` plus ``before``: the sum of ``value`` over its group's rows before, in ``order``.
+
+    Rows are dealt by ranges of the whole order: a row's sum is the one in its partition plus those of
+    the partitions before, so no task holds a whole group.
+    """
+    dealt = store(frame.repartitionByRange(*group, *order).withColumn("range", F.spark_partition_id()), "running")
+    here = Window.partitionBy(*group, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    earlier = (dealt.groupBy(*group, "range").agg(F.sum(value).alias("n"))
+               .select(*group, "range", zero(F.sum("n").over(ahead)).alias("earlier")))
+    return (dealt.withColumn("here", zero(F.sum(value).over(here))).join(earlier, [*group, "range"])
+            .withColumn("before", F.col("here") + F.col("earlier")).drop("range", "here", "earlier"))
+
+
+def _settings(said: DataFrame, segment: int) -> DataFrame:
+    """For every place the last ``segment`` system turns of its conversation's places before."""
+    place = ["conv_id", "segment", "part"]
+    places = said.groupBy(*place).agg(F.sum((F.col("role") == SYSTEM).cast("long")).alias("n_system"))
+    # conversations of one place, or without a system turn, have no setting to repeat
+    long = (places.groupBy("conv_id").agg(F.count("*").alias("n"), F.sum("n_system").alias("system"))
+            .where("n > 1 AND system > 0").select("conv_id"))
+    places = store(_before(places.join(long, "conv_id", "left_semi"), ["conv_id"], ["segment", "part"], "n_system"), "places")
+    inside = Window.partitionBy(*place).orderBy(*[F.col(c).asc_nulls_first() for c in ("turn", "role", "text")])
+    system = (said.where(F.col("role") == SYSTEM).join(places.where("n_system > 0"), place)
+              .withColumn("number", F.col("before") + F.row_number().over(inside) - 1)
+              .select("conv_id", "turn", "role", "text", "number", F.floor(F.col("number") / segment).alias("block")))
+    # the last ``segment`` numbers before a place lie in its own block and the one before
+    last = F.floor(F.col("before") / segment)
+    wanted = places.where("before > 0").select(*place, "before", F.explode(F.array(last - 1, last)).alias("block"))
+    return (wanted.join(system, ["conv_id", "block"]).where((F.col("number") < F.col("before")) & (F.col("number") >= F.col("before") - segment))
+            .select(*place, "turn", "role", "text", F.lit(False).alias("own")))
+
+
 def rotate(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """One row per conversation, participant, segment and part; see the module."""
     raw = (pick(turns, conv_id="long", turn="long", role="string", text="string").where("conv_id IS NOT NULL")
@@ -64,11 +101,8 @@ def rotate(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     small = raw.join(large, group, "left_anti").withColumn("part", F.lit(0).cast("long"))
     numbered = store(_numbered(raw.join(large, group, "left_semi").distinct(), segment), "numbered")
     said = small.distinct().unionByName(numbered)
-    # the setting: system turns of the places before are repeated at the head of every later one
-    places = small.select(*place).distinct().unionByName(numbered.select(*place).distinct())
-    settings = said.where(F.col("role") == SYSTEM).select("conv_id", "turn", "role", "text", F.struct("segment", "part").alias("from"))
-    repeated = (places.join(settings, "conv_id").where(F.col("from") < F.struct("segment", "part"))
-                .select(*place, "turn", "role", "text", F.lit(False).alias("own")))
+    # the setting: the latest system turns of the places before are repeated at the head of every later one
+    repeated = _settings(said, segment)
     said = said.select(*place, "turn", "role", "text", F.lit(True).alias("own")).unionByName(repeated)
     safe = lambda c: F.regexp_replace(c, r"<\|", "< |")
     head = (F.when(F.col("role") == SYSTEM, F.lit("<|im_start|>system\n"))

@@ -51,7 +51,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate(_table(spark, sf_dir, "conversations")).drop("part", "lead", "start")
+    return chat.rotate(_table(spark, sf_dir, "conversations")).drop("lead", "start")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,8 @@ WITH said AS (
 )
 SELECT conv_id, perspective, segment, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY k) AS text,
        coalesce(string_agg(s || '-' || (s + length(body)), ',' ORDER BY k) FILTER (WHERE mine), '') AS mask,
-       coalesce(CAST(sum(length(body)) FILTER (WHERE mine) AS BIGINT), 0) AS n_masked
+       coalesce(CAST(sum(length(body)) FILTER (WHERE mine) AS BIGINT), 0) AS n_masked,
+       CAST(0 AS BIGINT) AS part
 FROM placed GROUP BY conv_id, perspective, segment
 """
 

@@ -150,6 +150,30 @@ def test_chat_segments_keep_the_setting_and_join_to_the_dialogue(spark):
         assert [r.text[: r.lead] for r in mine] == [""] * 4 + [rules] + [rules + "<|im_start|>system\nmore rules<|im_end|>\n"] * 3
 
 
+def test_chat_output_grows_with_the_turns(spark):
+    def size(n):
+        rows = [(1, i, ("system", "ann")[i % 2], f"turn {i:05}") for i in range(n)]
+        got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+        # the last 64 system turns before a segment, at its head
+        for r in got:
+            earlier = [f"<|im_start|>system\nturn {i:05}<|im_end|>\n" for i in range(0, 64 * r.segment, 2)]
+            assert r.text[: r.lead] == "".join(earlier[-64:])
+        return sum(len(r.text) for r in got)
+
+    a, b, c = size(320), size(640), size(1280)
+    assert c - b <= 2.2 * (b - a) and c < 3 * 1280 * len("<|im_start|>assistant\nturn 00000<|im_end|>\n")
+
+
+def test_chat_edges(spark):
+    schema = "conv_id long, TURN string, turn long, role string, Role int, text string"
+    assert chat.rotate(spark.createDataFrame([], schema)).collect() == []
+    long = "word " * 200_000
+    rows = [(1, "x", 0, "ann", 7, long), (1, "y", 0, "ann", 8, long), (1, None, 1, "bob", None, "")]
+    got = {r.perspective: r for r in chat.rotate(spark.createDataFrame(rows, schema)).collect()}
+    assert set(got) == {"ann", "bob"} and got["ann"].n_turns == 2
+    assert got["ann"].text == f"<|im_start|>assistant\n{long}<|im_end|>\n<|im_start|>user name=bob\n<|im_end|>\n"
+
+
 def test_pipeline_is_its_stages_and_matches_brute_force(spark, tmp_path_factory):
     from tests.llm.test_documents import _brute_lines, _components, _ids, _measures
     from sluice.llm import pii, quality
