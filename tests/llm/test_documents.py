@@ -256,6 +256,22 @@ def test_line_dedup(docs, bits):
     assert got == _brute_lines(TEXTS)
 
 
+def test_line_dedup_filters_are_sized_and_sliced(docs, monkeypatch):
+    from sluice.llm.frames import documents_view
+
+    view = documents_view(docs).where("doc_id IS NOT NULL")
+    bits, slices = line_dedup._sized(view)
+    assert slices == 1 and line_dedup.LEAST_BITS <= bits <= line_dedup.BITS
+    exact = line_dedup.suspects(view, 1 << 22).count()
+    monkeypatch.setattr(line_dedup, "BITS", 1 << 10)
+    monkeypatch.setattr(line_dedup, "LEAST_BITS", 1 << 10)
+    assert line_dedup._sized(view)[1] >= 2  # several slices, each of its own keys
+    # few keys that don't repeat are suspects, and none that repeats is missed
+    assert exact <= line_dedup.suspects(view).count() <= 1.5 * exact + 50
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.line_digest(docs.repartition(3)).collect()}
+    assert got == _brute_lines(TEXTS)
+
+
 def test_line_dedup_edges(spark, none):
     assert line_dedup.line_digest(none, 1 << 12).collect() == []
     line = "a line that many documents hold"
