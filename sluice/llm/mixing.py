@@ -6,9 +6,9 @@ bytes, and the word so far. A predictor's guess is the logarithm of the odds tha
 that context, and after the bits already known of the byte, in all training texts. A mixer
 adds up the guesses with one weight each, and the logistic function of the sum is the probability.
 Weights are gated: every bit of a step has four sets, and how often training met the word so far
-chooses among them. Along a text the weights are refined online: after each block (256 steps
-first, 2048 at most) they move along the block's mean gradient. They start the same for each
-text, so a text's score depends on the training counts and on itself only.
+chooses among them. Along a text the weights are refined online: after every bit, those that took
+part in its guess move along the gradient of its cost. They start the same for each text, so a
+text's score depends on the training counts and on itself only.
 
 1. Counting. Each task sorts the (context, symbol) pairs of its training texts and returns them with
    their counts, cut into segments of the context hash. A tree of grouped jobs merges them, and
@@ -19,9 +19,11 @@ text, so a text's score depends on the training counts and on itself only.
 2. Words. The tokens of all training texts are counted, for the smoothed unigram base score; a word
    is its 64-bit hash there. The most frequent :data:`FREQUENT` words go to every task; others,
    each rare by that, meet their counts in a join.
-3. Scoring. One pass over all texts.
+3. Scoring. One pass over all texts. A bit's weights are those of its place in the step and of its
+   gate, so a text is 16 chains of decisions that share no weight. The chains of many texts
+   take their next decision at the same time, each after its own last move.
 
-Weights, sums and probabilities are in single precision, the blocks' costs are added in double.
+Weights, sums and probabilities are in single precision, the steps' costs are added in double.
 
 Defined cases: a NULL or empty text is the end alone; a NULL ``doc_id`` is hashed as the empty
 text (so it is training); every row is a document, also repeated ones; without any training row the
@@ -34,9 +36,11 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +61,16 @@ MET = (1, 8, 64)
 GATES = len(MET) + 1
 #: weights at the start of a text, by gate: the oftener the word was met, the more its guess counts
 START = ((0.4, 0.6, 0.25), (0.35, 0.55, 0.55), (0.2, 0.25, 0.7), (0.15, 0.3, 0.65))
-RATE = 0.3
-FIRST_BLOCK, LAST_BLOCK = 256, 2048
+RATE = 0.02
+#: steps between two moves of a text's weights, at first and at most: every step is followed by one
+FIRST_BLOCK = LAST_BLOCK = 1
 PIECE = 1 << 16
 BATCH = 1 << 15
+#: bytes that are scored side by side, a strip of each text; of so many bytes of texts that a task holds for it
+SIDE, STRIP = 1 << 17, 1 << 10
+HELD_BYTES = 16 << 20
+#: turns that are taken with the same number of chains
+TURNS = 16
 
 KEY_BITS = 24
 SEGMENT_BITS = 6
@@ -88,14 +98,15 @@ _LENGTH = 1 + (_ALL >= SHORT) + (_ALL >= MIDDLE)
 _HALF = np.stack([np.where(_ALL < SHORT, _ALL, np.where(_ALL < MIDDLE, SHORT + ((_ALL - SHORT) >> 4), 15)),
                   np.where(_ALL < MIDDLE, (_ALL - SHORT) & 15, (_ALL - MIDDLE) >> 4), (_ALL - MIDDLE) & 15]).astype(_U)
 _KNOWN = np.stack([np.zeros(256, _U), 1 + _HALF[0], 17 + _HALF[1]])
-#: by bit and half byte: -1 where the bit is set, else 1
-_SIGN = np.array([[1 - 2 * (half >> (3 - j) & 1) for half in range(16)] for j in range(4)], np.int8)
+#: by half byte: 1 where a bit is set, else -1, and the node of each bit in a block
+_TOWARDS = np.array([[2 * (half >> (3 - j) & 1) - 1 for j in range(4)] for half in range(16)], np.int8)
+_NODES = np.array([[(1 << j) | (half >> (4 - j)) for j in range(4)] for half in range(16)], np.int64).view("V32").ravel()
 _SPACE = np.zeros(256, bool)
 _SPACE[[0, 9, 10, 11, 12, 13, 32]] = True
 _MULTIPLY = np.random.default_rng(11).integers(0, 2**32, 8, dtype=np.uint64).astype(_U) | _U(1)
 _POWER = 0x2545F491
-_UP = np.cumprod(np.full(2 * PIECE, _POWER, _U), dtype=_U)
-_DOWN = np.cumprod(np.full(2 * PIECE, pow(_POWER, -1, 1 << 32), _U), dtype=_U)
+_UP = np.cumprod(np.full(3 * PIECE, _POWER, _U), dtype=_U)
+_DOWN = np.cumprod(np.full(3 * PIECE, pow(_POWER, -1, 1 << 32), _U), dtype=_U)
 
 
 def context_keys(data: np.ndarray) -> list[np.ndarray]:
@@ -302,55 +313,120 @@ def predictor_tables(texts: DataFrame) -> list[np.ndarray]:
 # ---- scoring ----------------------------------------------------------------------------
 
 
+def _side_by_side(texts: list[str]):
+    """Lists of ``(number of the text, lead, bytes)``, about SIDE bytes each, with one strip a text.
+
+    Texts that have the most bytes left come first, so that long ones don't end alone.
+    """
+    coded = [text.encode().lower() + bytes([END]) for text in texts]
+    left = [(-len(data), number) for number, data in enumerate(coded)]
+    heapify(left)
+    while left:
+        some, size, rest = [], 0, []
+        while left and size < SIDE:
+            n, number = heappop(left)
+            data, to = coded[number], min(-n, STRIP)
+            at = len(data) + n
+            some.append((number, data[max(0, at - LEAD) : at].rjust(LEAD, b"\0"), data[at : at + to]))
+            size += LEAD + to
+            if n + to:
+                rest.append((n + to, number))
+        yield some
+        for one in rest:
+            heappush(left, one)
+
+
 class Mixers:
-    """The state that goes along each text: gated weights, block size and cost so far."""
+    """The state that goes along each text: gated weights and the cost so far."""
 
     def __init__(self, n: int):
-        self.weights = np.tile((np.array(START, np.float32).T / SCALE)[None, :, None, :], (4, 1, n, 1))
-        self.size, self.nats = np.full(n, FIRST_BLOCK), np.zeros(n)
+        # weights are over, guesses times the root of the rate, so a weight moves by its guess times the error
+        start = (np.array(START, np.float32).T / math.sqrt(RATE))[:, None, :, None]
+        self.weights = np.tile(start.astype(np.float32), (1, n, 1, 4))  # by predictor, text, gate and bit
+        self.nats = np.zeros(n)
 
-    def add(self, texts: np.ndarray, ends: np.ndarray, x: np.ndarray, sign: np.ndarray, gate: np.ndarray) -> None:
-        """Code the next steps of some texts, block by block and all texts side by side.
+    def add(self, texts: np.ndarray, ends: np.ndarray, x: np.ndarray, half: np.ndarray, gate: np.ndarray) -> None:
+        """Code the next steps of some texts, the weights moving after every decision.
 
-        ``x[4, PREDICTORS, n]``: scaled guesses, ``sign[4, n]``: -1 for a set bit, ``gate[n]``. The steps of
-        ``texts[i]`` end at ``ends[i]``, where those of the next one begin.
+        ``x[PREDICTORS, n, 4]``: scaled guesses of the bits of half bytes ``half[n]``, ``gate[n]``. The
+        steps of ``texts[i]`` end at ``ends[i]``, where those of the next one begin.
         """
-        at = np.concatenate([[0], ends[:-1]])
-        while (live := np.flatnonzero(at < ends)).size:
-            own = texts[live]
-            n = np.minimum(self.size[own], ends[live] - at[live])
-            start = np.cumsum(n) - n
-            steps = np.arange(n.sum()) + np.repeat(at[live] - start, n)
-            # a block's steps by gate, so that equal weights lie side by side
-            group = np.repeat(np.arange(len(live)) * GATES, n) + gate[steps]
-            order = np.argsort(group, kind="stable")
-            count = np.bincount(group, minlength=len(live) * GATES)
-            steps = steps[order]
-            part = np.take(x, steps, axis=2, mode="clip").astype(np.float32)
-            weights = self.weights[:, :, own].reshape(4, PREDICTORS, -1)
-            truth = np.take(sign, steps, axis=1, mode="clip").astype(np.float32)
-            wrong = np.repeat(weights, count, axis=2)
-            wrong *= part
-            wrong = wrong.sum(axis=1)
-            wrong *= truth
-            small = np.exp(-np.abs(wrong))
-            whole = small + 1
-            self.nats[own] += np.add.reduceat((np.maximum(wrong, 0) + np.log(whole)).sum(axis=0), start)
-            # the error of the probability, from the same exponential
-            error = np.where(wrong > 0, np.float32(-1), -small) / whole * truth
-            part *= error[:, None]
-            used = np.flatnonzero(count)
-            moves = np.add.reduceat(part, (np.cumsum(count) - count)[used], axis=2)
-            weights[:, :, used] += moves * (np.float32(RATE / SCALE**2) / n[used // GATES]).astype(np.float32)
-            self.weights[:, :, own] = weights.reshape(4, PREDICTORS, -1, GATES)
-            at[live] += n
-            self.size[own] = np.minimum(2 * self.size[own], LAST_BLOCK)
+        chains = len(texts) * GATES
+        chain = np.repeat(np.arange(len(texts)) * GATES, np.diff(ends, prepend=0)) + gate
+        steps = np.argsort(chain.astype(np.uint16) if chains <= 1 << 16 else chain, kind="stable")
+        size = np.bincount(chain, minlength=chains)
+        # the longest chains first: those that still go on are the first ones at any turn
+        longest = np.argsort(-size, kind="stable")
+        place = np.empty_like(longest)
+        place[longest] = np.arange(chains)
+        live = np.cumsum(np.bincount(size)[::-1])[::-1][1:]
+        # in some turns after one another as many chains as in the first of them, with guesses of 0 after their end
+        live = np.repeat(live[::TURNS], TURNS)[: len(live)]
+        first = np.cumsum(live) - live
+        # turn after turn, a predictor's guesses for all chains, then the next predictor's
+        turn = np.arange(len(gate)) - np.repeat(np.cumsum(size) - size, size)
+        nth, first, wide = np.repeat(place, size), np.take(first, turn), np.take(live, turn)
+        guesses_ = np.zeros(PREDICTORS * int(live.sum()), np.int32)
+        to, towards = PREDICTORS * first + nth, np.take(_TOWARDS.view(np.int32).ravel(), half).view(np.int8)
+        for k in range(PREDICTORS):
+            # positive where it tends to the bit that comes
+            guesses_[to] = np.take((x[k].ravel() * towards).view(np.int32), steps)
+            to += wide
+        guesses_ = guesses_.view(np.int8).astype(np.float32)
+        guesses_ *= np.float32(math.sqrt(RATE) / SCALE)
+        weights = self.weights[:, texts].reshape(PREDICTORS, chains, 4)
+        moved = weights[:, longest].reshape(PREDICTORS, -1)
+        sums, powers = np.empty((2, len(guesses_) // PREDICTORS), np.float32)
+        _mix(moved, guesses_, sums, powers, live * 4)
+        weights[:, longest] = moved.reshape(PREDICTORS, chains, 4)
+        self.weights[:, texts] = weights.reshape(PREDICTORS, len(texts), GATES, 4)
+        # a step's cost from the product of its bits' inverse probabilities; powers near nothing are left to the sums
+        with np.errstate(divide="ignore", over="ignore"):
+            inverse = 1 / powers
+        inverse += 1
+        far = np.flatnonzero(sums < -20)
+        inverse[far] = 1
+        costs = np.log((inverse[::4] * inverse[1::4]) * (inverse[2::4] * inverse[3::4])).astype(float)
+        if len(far):
+            np.subtract.at(costs, far >> 2, sums[far])
+        self.nats[texts] += np.bincount(np.repeat(np.arange(chains) // GATES, size), np.take(costs, first + nth), len(texts))
+
+
+def _mix(weights: np.ndarray, guesses_: np.ndarray, sums: np.ndarray, powers: np.ndarray, live: np.ndarray) -> None:
+    """Turn after turn: weigh and add the guesses of the ``live`` first chains, then move their weights by the error.
+
+    ``powers`` are the exponentials of the ``sums``.
+    """
+    room, ones = np.empty(weights.size, np.float32), np.ones(weights.shape[1], np.float32)
+    multiply, add, divide, exp = np.multiply, np.add, np.divide, np.exp
+    at = 0
+    with np.errstate(over="ignore"):
+        for turn in range(0, len(live), TURNS):
+            m = int(live[turn])
+            own, one, error = weights[:, :m].flatten(), ones[:m], np.empty(m, np.float32)
+            move = room[: PREDICTORS * m]
+            each = move.reshape(PREDICTORS, m)
+            one_by_one = list(each)
+            for _ in range(min(TURNS, len(live) - turn)):
+                to = at + m
+                x, z, power = guesses_[PREDICTORS * at : PREDICTORS * to], sums[at:to], powers[at:to]
+                multiply(own, x, move)
+                add(one_by_one[0], one_by_one[1], z)
+                for more in one_by_one[2:]:
+                    add(z, more, z)
+                # the error is the probability of the other bit
+                exp(z, power)
+                add(power, one, error)
+                divide(x.reshape(PREDICTORS, m), error, each)
+                add(own, move, own)
+                at = to
+            weights[:, :m] = own.reshape(PREDICTORS, m)
 
 
 def text_costs(texts: list[str], tables: list[np.ndarray]) -> list[tuple[int, float]]:
     """``(bytes, nats)`` of every text, its end included."""
     mixers, sizes = Mixers(len(texts)), [0] * len(texts)
-    for some in _batches(texts):
+    for some in _side_by_side(texts):
         data, first = _joined(some)
         real = np.concatenate([np.arange(s, s + len(part)) for s, (_, _, part) in zip(first.tolist(), some)])
         symbol = _SYMBOL[data[LEAD:][real]]
@@ -361,20 +437,20 @@ def text_costs(texts: list[str], tables: list[np.ndarray]) -> list[tuple[int, fl
         step *= 256
         step += symbol
         half, known = np.take(_HALF.ravel(), step, mode="clip"), np.take(_KNOWN.ravel(), step, mode="clip")
-        nodes = nodes_of(half)
-        x = np.empty((4, PREDICTORS, len(half)), np.int8)
+        nodes = np.take(_NODES, half).view(np.int64).reshape(-1, 4)
+        nodes += 16 * np.arange(len(half))[:, None]
+        x = np.empty((PREDICTORS, len(half), 4), np.int8)
         for k, key in enumerate(context_keys(data)):
             at, check = places_of(key[real], known, BLOCK_BITS[k])
-            head = np.take(tables[k], at, mode="clip").view(np.uint8)
+            block = np.take(tables[k].view(np.complex128), at >> 4).view(np.int8)  # 16 bytes at a time
+            head = block[::16].view(np.uint8)
             gate = np.where(head >> 3 == check, head & 7, 0)  # the last predictor's, the word's, stays
-            at[gate == 0] = 16 << BLOCK_BITS[k]
-            for j in range(4):
-                np.take(tables[k], at + nodes[j], mode="clip", out=x[j, k])
-        sign = np.stack([np.take(s, half, mode="clip") for s in _SIGN])
+            np.take(block, nodes, out=x[k], mode="clip")
+            x[k].view(np.int32)[:, 0] *= gate > 0
         for number, _, part in some:
             sizes[number] += len(part)
         pieces = np.cumsum([len(part) for _, _, part in some])
-        mixers.add(np.array([number for number, _, _ in some]), ends[pieces - 1], x, sign, gate)
+        mixers.add(np.array([number for number, _, _ in some]), ends[pieces - 1], x, half, gate)
     return list(zip(sizes, mixers.nats.tolist()))
 
 
@@ -405,6 +481,20 @@ def _count_words(batches):
         yield handed()
 
 
+def _costed(batch: pa.RecordBatch, tables: list[np.ndarray]):
+    """``(rows, their texts, their costs)``: 256 rows at a time, scored side by side with many more."""
+    size = np.cumsum(pc.binary_length(batch.column(3)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + HELD_BYTES, side="right")))
+        texts = batch.column(3).slice(at, to - at).to_pylist()
+        costs = text_costs(texts, tables)
+        for i in range(0, len(texts), 256):
+            some = slice(i, i + 256)
+            yield batch.slice(at + i, len(texts[some])), texts[some], costs[some]
+        at = to
+
+
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_bytes long, found long, logs double, score double, rare array<struct<word: long, n: int>>"
 
 
@@ -412,32 +502,28 @@ def _score(model):
     def run(batches):
         tables, frequent = model.value
         find, digest = frequent.get, xxhash.xxh3_64_intdigest
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
-                texts = batch.column(3).to_pylist()
-                tokens, kinds, hashes, counts = [], [], [], []
-                for text in texts:
-                    words = _words(text)
-                    tokens.append(len(words) + 1)
-                    seen = Counter(words)
-                    seen[b""] = 1
-                    kinds.append(len(seen))
-                    hashes += map(digest, seen)
-                    counts += seen.values()
-                known = np.fromiter((find(h, -1) for h in hashes), np.int64, len(hashes))
-                n, of = np.array(counts, np.int64), np.repeat(np.arange(len(texts)), kinds)
-                there = known >= 0
-                found = np.bincount(of[there], n[there], len(texts)).astype(np.int64)
-                logs = np.bincount(of[there], n[there] * np.log10(known[there] + 1), len(texts)).astype(float)
-                ends = np.concatenate([[0], np.cumsum(np.bincount(of[~there], minlength=len(texts)))])
-                others = pa.StructArray.from_arrays([pa.array(_signed(hashes)[~there]), pa.array(n[~there].astype(np.int32))], names=["word", "n"])
-                costs = text_costs(texts, tables)
-                yield pa.RecordBatch.from_arrays([
-                    *batch.columns[:3], pa.array(tokens, pa.int64()), pa.array([size for size, _ in costs], pa.int64()), pa.array(found),
-                    pa.array(logs), pa.array([-nats / math.log(10) for _, nats in costs], pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_bytes", "found", "logs", "score", "rare"])
+        for batch, texts, costs in ((b, t, c) for whole in batches for b, t, c in _costed(whole, tables)):
+            tokens, kinds, hashes, counts = [], [], [], []
+            for text in texts:
+                words = _words(text)
+                tokens.append(len(words) + 1)
+                seen = Counter(words)
+                seen[b""] = 1
+                kinds.append(len(seen))
+                hashes += map(digest, seen)
+                counts += seen.values()
+            known = np.fromiter((find(h, -1) for h in hashes), np.int64, len(hashes))
+            n, of = np.array(counts, np.int64), np.repeat(np.arange(len(texts)), kinds)
+            there = known >= 0
+            found = np.bincount(of[there], n[there], len(texts)).astype(np.int64)
+            logs = np.bincount(of[there], n[there] * np.log10(known[there] + 1), len(texts)).astype(float)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of[~there], minlength=len(texts)))])
+            others = pa.StructArray.from_arrays([pa.array(_signed(hashes)[~there]), pa.array(n[~there].astype(np.int32))], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:3], pa.array(tokens, pa.int64()), pa.array([size for size, _ in costs], pa.int64()), pa.array(found),
+                pa.array(logs), pa.array([-nats / math.log(10) for _, nats in costs], pa.float64()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others)],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_bytes", "found", "logs", "score", "rare"])
 
     return run
 

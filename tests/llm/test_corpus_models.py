@@ -167,6 +167,38 @@ def test_lm_base_and_model_match_brute_force(docs, none, monkeypatch):
     assert mixing.score(none).collect() == []
 
 
+def test_lm_weights_move_after_every_bit(monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_BITS", (8, 9, 10))
+    for name, n in (("SIDE", 300), ("STRIP", 40), ("TURNS", 3)):
+        monkeypatch.setattr(mixing, name, n, raising=False)
+    rng = np.random.default_rng(5)
+    tables = [np.concatenate([rng.integers(-90, 90, 16 << bits), np.zeros(16)]).astype(np.int8) for bits in mixing.BLOCK_BITS]
+    for bits, table in zip(mixing.BLOCK_BITS, tables):  # one check for all, and any number of meetings
+        table[: 16 << bits : 16] = 3 << 3 | rng.integers(0, 4, 1 << bits)
+    monkeypatch.setattr(mixing, "CHECK_BITS", 2)
+    texts = ["a", "", "some words, some more words and a word", "über 日本 " * 20, "x" * 90, "The END. " * 60]
+    for text, (size, nats) in zip(texts, mixing.text_costs(texts, tables)):
+        data = _lower(text).encode() + bytes([mixing.END])
+        weights = np.array([[list(mixing.START[g]) for g in range(mixing.GATES)] for _ in range(4)])
+        want = 0.0
+        for i, b in enumerate(data):
+            for known, half in _slow_steps(b):
+                blocks, gate = [], 0
+                for k in range(mixing.PREDICTORS):
+                    key = np.array([_slow_key(data, i, k)], np.uint32)
+                    at, check = mixing.places_of(key, np.array([known], np.uint32), mixing.BLOCK_BITS[k])
+                    head = int(tables[k][int(at[0])]) & 255
+                    gate = head & 7 if head >> 3 == check[0] else 0
+                    blocks.append(tables[k][int(at[0]) :][:16] if gate else np.zeros(16, np.int8))
+                for j in range(4):
+                    x = np.array([float(block[1 << j | half >> (4 - j)]) for block in blocks]) / mixing.SCALE
+                    p = 1 / (1 + math.exp(-float(weights[j, gate] @ x)))
+                    bit = half >> (3 - j) & 1
+                    want -= math.log(p if bit else 1 - p)
+                    weights[j, gate] += mixing.RATE * (bit - p) * x  # before the next bit is guessed
+        assert size == len(data) and math.isclose(nats, want, rel_tol=1e-4), text
+
+
 def test_lm_without_training_rows_costs_a_bit_a_decision(spark):
     held = [i for i in range(100) if _held(i)][:3]
     rows = mixing.score(spark.createDataFrame([(i, "abc") for i in held], "doc_id long, text string")).collect()
