@@ -10,8 +10,9 @@ vocabulary needs. All numbers are little-endian::
     a closing newline
 
 Block offsets make any id reachable without reading what is before it, and a block unpacks in a
-few numpy calls. Texts are encoded first, and their ids, which are smaller, are dealt by ranges of
-``doc_id`` and sorted, so (part, shard) is the order of documents. Files are written by Spark's own text sink, one row of raw bytes a file, so they are
+few numpy calls. Ranges of ``doc_id`` are cut from that column alone. Texts are encoded, and their ids,
+which are smaller, go straight to their range and are sorted there, so (part, shard) is the order of
+documents and no copy of the ids is stored but the files. Files are written by Spark's own text sink, one row of raw bytes a file, so they are
 committed like any Spark output and may lie in any store that Spark reaches. They are read back with
 the ``binaryFile`` source. A shard has at most :data:`SHARD` ids unless one document has more.
 
@@ -94,8 +95,20 @@ class Shard:
         return np.concatenate(parts)[start - first * self.block :][:n]
 
 
+def range_cuts(df: DataFrame, column: str) -> np.ndarray:
+    """Ascending last values of about equal ranges of a column of longs, one range a shuffle partition at most."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts < 2:
+        return np.empty(0, np.int64)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = df.agg(F.percentile_approx(column, shares, max(10_000, 10 * parts)).alias("cuts")).first().cuts
+    return np.unique(np.array(cuts or [], np.int64))
+
+
 def write_tokens(docs: DataFrame, folder: str, path: str, end: int, kind: str = "spaced", shard_ids: int = SHARD) -> None:
     """Encode every text, append ``end``, and write shard files below ``folder``."""
+    view = documents_view(docs)
+    cuts = range_cuts(view, "doc_id")
 
     def encode(batches):
         encoder = ChunkEncoder.of(path, kind)
@@ -105,7 +118,9 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, kind: str =
             for at in range(0, len(whole), 2048):
                 batch = whole.slice(at, 2048)
                 ids = [i.astype(wide, copy=False).tobytes() + last for i in encoder.encode(batch.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                # NULL lies before all others, as in the sort
+                part = np.searchsorted(cuts, batch.column(0).fill_null(NO_ID).to_numpy()).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0), pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
 
     def lay(batches):
         from pyspark import TaskContext
@@ -124,9 +139,9 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, kind: str =
         if docs_:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard_bytes(docs_, ids_, top.bit_length(), part, shard)], pa.binary())})
 
-    # stored, as dealing by ranges reads its input twice
-    encoded = store(documents_view(docs).mapInArrow(encode, "doc_id long, ids binary"), "encoded")
-    shards = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(lay, "shard binary")
+    # each range is a partition of its own; repartitionByRange would read, and encode, its input twice
+    encoded = view.mapInArrow(encode, "part int, doc_id long, ids binary").repartitionById(len(cuts) + 1, "part")
+    shards = encoded.select("doc_id", "ids").sortWithinPartitions("doc_id", "ids").mapInArrow(lay, "shard binary")
     shards.select(F.col("shard").cast("string")).write.option("maxRecordsPerFile", 1).text(folder)
 
 

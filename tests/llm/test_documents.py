@@ -352,6 +352,23 @@ def test_token_files(odd, none, spark):
     assert token_files.token_digest(none, path, end=2).collect() == []
 
 
+def test_token_files_store_no_copy_of_the_ids(spark, outdir, monkeypatch):
+    def stored(df, name):
+        raise AssertionError(f"{name} is stored")
+
+    monkeypatch.setattr(token_files, "store", stored)
+    ids = [None, None, -(2**63) + 1, 2**63 - 1] + list(range(-40, 400)) + [7] * 50
+    docs = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+    token_files.write_tokens(docs, outdir + "/tokens", public_tokenizers.path("byte_bpe_50k.json"), 2, shard_ids=90)
+    rows = token_files.read_tokens(spark, outdir + "/tokens").collect()
+    by_place = sorted(rows, key=lambda r: (r.part, r.shard, r["first"]))
+    order = lambda i: (i is not None, i or 0)
+    assert [r.doc_id for r in by_place] == sorted(ids, key=order)
+    assert len({r.part for r in rows if r.doc_id == 7}) == 1 and len({r.part for r in rows}) > 4
+    per_part = Counter(r.part for r in rows)
+    assert max(per_part.values()) < len(ids) / 3  # ranges of about equal size
+
+
 @pytest.mark.parametrize("bits", [1, 7, 13, 16, 17, 32])
 def test_shard_random_access(bits):
     rng = np.random.default_rng(bits)
