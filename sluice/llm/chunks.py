@@ -1,7 +1,8 @@
 """Fast exact encoding with the tokenizers library: distinct words once, whole texts by lookup.
 
 A token never crosses the start of a space that follows other text, so a text may be cut there
-and each piece encoded on its own. Arrow cuts the texts of a batch and numbers their distinct
+and each piece encoded on its own. Where the tokenizer itself ends a word before a comma or the like, a
+text is cut between an ASCII letter and such a mark before a space too: fewer pieces are distinct then. Arrow cuts the texts of a batch and numbers their distinct
 pieces; only those are looked up or encoded, by ``encode_batch`` of the library, and a text's ids are
 gathered from its pieces' ids. Ids of pieces are kept, up to a number and a size per Python worker;
 pieces beyond that are encoded again in each batch that has them.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 
 import numpy as np
@@ -39,6 +41,17 @@ def worker_cache() -> dict:
 #: white space before a space: such texts are cut by the slower pattern
 _RUN = re.compile(r"\s\x20")
 _CUT = re.compile(r"(?<=\S)(?=\x20)")
+#: a mark between an ASCII letter and a space
+_MARKS = ",.;:!?"
+_MARKED = rf"([A-Za-z])([{_MARKS}]) "
+
+
+def _ends_words(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer cuts between any ASCII letter and any of the marks before a space."""
+    if tokenizer.pre_tokenizer is None:
+        return False
+    cut = tokenizer.pre_tokenizer.pre_tokenize_str
+    return all((1, 2) in [at for _, at in cut(f"{letter}{mark} a")] for letter in string.ascii_letters for mark in _MARKS)
 
 
 class _Pieces:
@@ -86,11 +99,17 @@ class ChunkEncoder:
         self.width = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.kept = _Pieces(self.width)
         # byte-level vocabularies write a space as this letter: an id that begins with it begins a word
-        names = tokenizer.get_vocab() if kind == "spaced" and not check else {}
+        names = tokenizer.get_vocab() if not check else {}
         self.leads = None
-        if "Ġ" in names:
+        if kind == "spaced" and "Ġ" in names:
             self.leads = np.zeros(max(names.values()) + 1, bool)
             self.leads[[i for name, i in names.items() if name.startswith("Ġ")]] = True
+        # others write the end of a word in its last id
+        ends = [i for name, i in names.items() if name.endswith("</w>")] if kind == "plain" else []
+        if ends:
+            self.leads = np.zeros(max(names.values()) + 1, bool)
+            self.leads[ends] = True
+        self.marks = not check and (kind == "plain" or self.leads is not None) and _ends_words(tokenizer)
 
     @classmethod
     def of(cls, path: str, kind: str) -> "ChunkEncoder":
@@ -103,7 +122,10 @@ class ChunkEncoder:
     def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
         """The pieces of all texts one after the other, and where each text's begin."""
         if self.kind == "plain":
-            lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+            whole = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+            if self.marks:
+                whole = pc.replace_substring_regex(whole, _MARKED, r"\1 \2 ")
+            lists = pc.split_pattern(whole, " ")
             return lists.flatten(), lists.offsets.to_numpy()
         slow = [i for i, t in enumerate(texts) if "\0" in t or _RUN.search(t)]
         if slow:
@@ -112,7 +134,10 @@ class ChunkEncoder:
             for i in slow:
                 texts[i] = ""
         # a mark before every space: the cut itself leaves the spaces where they are
-        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), " ", "\0 "), "\0")
+        whole = pa.array(texts, pa.large_string())
+        if self.marks:
+            whole = pc.replace_substring_regex(whole, _MARKED, "\\1\0\\2 ")
+        lists = pc.split_pattern(pc.replace_substring(whole, " ", "\0 "), "\0")
         if not slow:
             return lists.flatten(), lists.offsets.to_numpy()
         parts, sizes, at = [], np.diff(lists.offsets.to_numpy()), 0
@@ -138,12 +163,16 @@ class ChunkEncoder:
         return np.array(sizes, np.int64), np.concatenate([*flat, np.empty(0, self.width)]), odd
 
     def _together(self, pieces: list[str]):
-        """As :meth:`_encoded`, many words to a call: they are cut again where a word begins.
+        """As :meth:`_encoded`, many words to a call: they are cut again where a word begins, or ends.
 
         Only words of a space and no further white space are joined, since then the joined text may be
-        cut where they meet. The number of cuts is checked.
+        cut where they meet; with ids that end words, words of ASCII letters. The number of cuts is checked.
         """
-        plain = [p[:1] == " " and len(p) > 1 and len(p.split()) == 1 and len(p.split()[0]) == len(p) - 1 for p in pieces]
+        ended = self.kind == "plain"
+        if ended:
+            plain = [p.isascii() and p.isalpha() for p in pieces]
+        else:
+            plain = [p[:1] == " " and len(p) > 1 and len(p.split()) == 1 and len(p.split()[0]) == len(p) - 1 for p in pieces]
         if not all(plain):
             one = [p for p, x in zip(pieces, plain) if x]
             if not one:
@@ -158,17 +187,18 @@ class ChunkEncoder:
             flat[from_first], flat[~from_first] = f1, f2
             return sizes, flat, np.zeros(len(pieces), bool)
         flat, starts, at = [], [], 0
-        joined = ["".join(pieces[a : a + 512]) for a in range(0, len(pieces), 512)]
+        joined = [(" " if ended else "").join(pieces[a : a + 512]) for a in range(0, len(pieces), 512)]
         for a in range(0, len(joined), 16):
             for e in self.tokenizer.encode_batch_fast(joined[a : a + 16], add_special_tokens=False):
                 ids = np.array(e.ids, self.width)
                 flat.append(ids)
-                starts.append(np.flatnonzero(self.leads[ids]) + at)
+                starts.append(np.flatnonzero(self.leads[ids]) + at + ended)
                 at += len(ids)
         starts = np.concatenate(starts)
         if len(starts) != len(pieces):
             return self._alone(pieces)
-        return np.diff(starts, append=at), np.concatenate(flat), np.zeros(len(pieces), bool)
+        sizes = np.diff(starts, prepend=0) if ended else np.diff(starts, append=at)
+        return sizes, np.concatenate(flat), np.zeros(len(pieces), bool)
 
     def _alone(self, pieces: list[str]):
         leads, self.leads = self.leads, None

@@ -12,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from sluice.llm import frames, line_dedup, minhash, packing, pieces, pii, quality, token_files
+from sluice.llm.chunks import ChunkEncoder
 
 SCHEMA = "doc_id long, Text string, text string, doc_ID string, lang string, n_chars long, c0 int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -319,6 +320,25 @@ def test_packing(odd, none):
     assert packing.pack_documents(none, path).collect() == []
 
 
+@pytest.mark.parametrize("name, kind", [("word_bpe_49k.json", "plain"), ("byte_bpe_50k.json", "spaced")])
+def test_words_are_encoded_without_the_mark_after_them(name, kind):
+    encoder = ChunkEncoder(Tokenizer.from_file(public_tokenizers.path(name)), kind)
+    base = ["alpha", "Beta", "gammaé", "x", "it's", "e\u0301", "don't", "z9", "(in", "<|endoftext|>", "日本", "ſ", "K"]
+    texts = [f"{w}{m}{after}{v}" for w in base for m in (",", ".", ";", "!", "?", ":", "...", ").", ",,", "\u0301,") for v in base[:4]
+             for after in (" ", "\n", "  ", "", " \u0301")] + [w + m for w in base for m in ",.;:!?"]
+    texts += [" ".join(texts[:200]), "\0a, b, c. d! e", "a, b\0, c"] + list(TEXTS.values()) + [t or "" for t in ODD]
+    texts = [t or "" for t in texts]
+    assert [i.tolist() for i in encoder.encode(texts)] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    # a word is known with any mark after it
+    assert " alpha" in encoder.kept.number or "alpha" in encoder.kept.number
+    n = len(encoder.kept.number)
+    list(encoder.encode(["zeta eta theta"] if kind == "plain" else ["eta zeta eta theta"]))
+    known = len(encoder.kept.number)
+    assert known > n
+    list(encoder.encode([f"eta{m} zeta{m} theta{m} eta" for m in ",.;:!?"]))
+    assert len(encoder.kept.number) <= known + 7
+
+
 def test_packing_ranks_over_salted_groups(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANKED", 10)
     pieces_ = spark.createDataFrame([(i, 1 + i % 7) for i in range(200)], "doc_id long, length long")
