@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import checkpoint_dir
@@ -60,6 +60,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_counting(df: DataFrame, name: str, where: str = "true") -> tuple[DataFrame, int]:
+    """:func:`store`, and how many of the rows meet ``where``: counted as they are written, without a job."""
+    seen = Observation()
+    stored = store(df.observe(seen, F.count_if(F.expr(where)).alias("n")), name)
+    return stored, seen.get["n"]
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the scratch folders of this run; call it once its results are written."""
     jvm = spark.sparkContext._jvm

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.frames import documents_view, numbered, position, store
+from sluice.llm.frames import documents_view, numbered, position, store, store_counting
 from sluice.llm.graph import connected_components
 from sluice.llm.shingles import SIGNATURE, mix, set_key, shingle_sets, signature
 
@@ -302,16 +302,16 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     tried = None
     for _ in range(ROUNDS):
         pairs = _candidates(rows)
-        pairs = store(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
+        pairs, found = store_counting(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not found:
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = links.unionByName(store(_confirm(pairs, sets, threshold), "links"))
         comps = connected_components(links)
         rows = _forest(grown(nodes))
     tiles = _tiled(rows).join(sets.hint("merge"), "node")
-    rest = store(tiles.groupBy("tile").applyInArrow(_linker(threshold), "a long, b long"), "rest")
-    if not rest.isEmpty():
+    rest, found = store_counting(tiles.groupBy("tile").applyInArrow(_linker(threshold), "a long, b long"), "rest")
+    if found:
         comps = connected_components(links.unionByName(rest))
 
     result = (signed.where("doc_id IS NOT NULL").join(_labels(classes, comps), "set_key", "left")
