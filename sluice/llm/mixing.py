@@ -397,19 +397,18 @@ def _mix(weights: np.ndarray, guesses_: np.ndarray, sums: np.ndarray, powers: np
 
     ``powers`` are the exponentials of the ``sums``.
     """
-    room, ones = np.empty(weights.size, np.float32), np.ones(weights.shape[1], np.float32)
+    ones = np.ones(weights.shape[1], np.float32)
     multiply, add, divide, exp = np.multiply, np.add, np.divide, np.exp
     at = 0
     with np.errstate(over="ignore"):
         for turn in range(0, len(live), TURNS):
-            m = int(live[turn])
-            own, one, error = weights[:, :m].flatten(), ones[:m], np.empty(m, np.float32)
-            move = room[: PREDICTORS * m]
-            each = move.reshape(PREDICTORS, m)
-            one_by_one = list(each)
-            for _ in range(min(TURNS, len(live) - turn)):
-                to = at + m
-                x, z, power = guesses_[PREDICTORS * at : PREDICTORS * to], sums[at:to], powers[at:to]
+            m, turns = int(live[turn]), min(TURNS, len(live) - turn)
+            own, one, error, move = weights[:, :m].copy(), ones[:m], np.empty(m, np.float32), np.empty((PREDICTORS, m), np.float32)
+            one_by_one = list(move)
+            to = at + turns * m
+            # a row of each for a turn: they come one after the other without being cut out
+            for x, z, power in zip(guesses_[PREDICTORS * at : PREDICTORS * to].reshape(turns, PREDICTORS, m),
+                                   sums[at:to].reshape(turns, m), powers[at:to].reshape(turns, m)):
                 multiply(own, x, move)
                 add(one_by_one[0], one_by_one[1], z)
                 for more in one_by_one[2:]:
@@ -417,10 +416,10 @@ def _mix(weights: np.ndarray, guesses_: np.ndarray, sums: np.ndarray, powers: np
                 # the error is the probability of the other bit
                 exp(z, power)
                 add(power, one, error)
-                divide(x.reshape(PREDICTORS, m), error, each)
+                divide(x, error, move)
                 add(own, move, own)
-                at = to
-            weights[:, :m] = own.reshape(PREDICTORS, m)
+            at = to
+            weights[:, :m] = own
 
 
 def text_costs(texts: list[str], tables: list[np.ndarray]) -> list[tuple[int, float]]:
@@ -458,9 +457,17 @@ def _words(text: str) -> list[bytes]:
     return text.encode().lower().split()  # bytes.split() cuts at the six white spaces of the contract
 
 
-def _signed(hashes: list[int]) -> np.ndarray:
-    """64-bit hashes as longs."""
-    return np.array(hashes, np.uint64).view(np.int64)
+def _signed(hashes: list[bytes]) -> np.ndarray:
+    """64-bit hashes, in eight bytes each, as longs."""
+    return np.frombuffer(b"".join(hashes), ">i8").astype(np.int64)
+
+
+def _times(words: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How often each word was met, where it is among the ``frequent`` ones (in order); else -1."""
+    if not len(frequent):
+        return np.full(len(words), -1)
+    at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+    return np.where(frequent[at] == words, times[at], -1)
 
 
 def _count_words(batches):
@@ -468,7 +475,7 @@ def _count_words(batches):
     seen: Counter = Counter()
 
     def handed():
-        return pa.RecordBatch.from_arrays([pa.array(_signed(list(map(xxhash.xxh3_64_intdigest, seen)))), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(_signed(list(map(xxhash.xxh3_64_digest, seen)))), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
@@ -500,8 +507,7 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_bytes long,
 
 def _score(model):
     def run(batches):
-        tables, frequent = model.value
-        find, digest = frequent.get, xxhash.xxh3_64_intdigest
+        tables, frequent, times = model.value
         for batch, texts, costs in ((b, t, c) for whole in batches for b, t, c in _costed(whole, tables)):
             tokens, kinds, hashes, counts = [], [], [], []
             for text in texts:
@@ -510,15 +516,16 @@ def _score(model):
                 seen = Counter(words)
                 seen[b""] = 1
                 kinds.append(len(seen))
-                hashes += map(digest, seen)
+                hashes += map(xxhash.xxh3_64_digest, seen)
                 counts += seen.values()
-            known = np.fromiter((find(h, -1) for h in hashes), np.int64, len(hashes))
+            words = _signed(hashes)
+            known = _times(words, frequent, times)
             n, of = np.array(counts, np.int64), np.repeat(np.arange(len(texts)), kinds)
             there = known >= 0
             found = np.bincount(of[there], n[there], len(texts)).astype(np.int64)
             logs = np.bincount(of[there], n[there] * np.log10(known[there] + 1), len(texts)).astype(float)
             ends = np.concatenate([[0], np.cumsum(np.bincount(of[~there], minlength=len(texts)))])
-            others = pa.StructArray.from_arrays([pa.array(_signed(hashes)[~there]), pa.array(n[~there].astype(np.int32))], names=["word", "n"])
+            others = pa.StructArray.from_arrays([pa.array(words[~there]), pa.array(n[~there].astype(np.int32))], names=["word", "n"])
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:3], pa.array(tokens, pa.int64()), pa.array([size for size, _ in costs], pa.int64()), pa.array(found),
                 pa.array(logs), pa.array([-nats / math.log(10) for _, nats in costs], pa.float64()),
@@ -541,8 +548,9 @@ def score(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     counts = store(training.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")).first()
     # at most FREQUENT pairs of numbers
-    known = {r.word % (1 << 64): r.n for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()}
-    model = spark.sparkContext.broadcast((predictor_tables(training), known))  # 54 MB and FREQUENT pairs of numbers
+    most = sorted((r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect())
+    known, times = np.array(most, np.int64).reshape(-1, 2).T.copy()
+    model = spark.sparkContext.broadcast((predictor_tables(training), known, times))  # 54 MB and FREQUENT pairs of numbers
 
     rows = view.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = store(rows.mapInArrow(_score(model), SCORED), "scored")

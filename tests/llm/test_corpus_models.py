@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from sluice.llm import centroids, mixing, ranked
 
@@ -344,3 +345,14 @@ def test_registered_query_matches_its_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     result = compare(spark, name, E.queries()[name], E.oracle_sql()[name], sf, duck(sf))
     assert result["ok"], result
+
+
+def test_frequent_words_are_found_by_their_hashes_at_once():
+    words = [b"", b"the", b"of", b"rare", b"\xc3\xa9"] + [b"w%d" % i for i in range(500)]
+    hashed = mixing._signed([xxhash.xxh3_64_digest(w) for w in words])
+    assert (hashed < 0).any() and hashed.view(np.uint64).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    kept = {int(h): n for n, h in enumerate(hashed[::3].tolist(), 1)}
+    frequent, times = np.array(sorted(kept.items()), np.int64).T.copy()
+    assert mixing._times(hashed, frequent, times).tolist() == [kept.get(h, -1) for h in hashed.tolist()]
+    assert mixing._times(hashed, frequent[:0], times[:0]).tolist() == [-1] * len(words)
+    assert mixing._times(hashed[:0], frequent, times).tolist() == []
