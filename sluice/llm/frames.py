@@ -13,6 +13,9 @@ from sluice.session import checkpoint_dir
 #: Names this run's scratch folders, so that other jobs' are never taken for its own.
 RUN = uuid.uuid4().hex[:12]
 
+#: bytes of rows that a Python worker is given at a time
+BATCH_BYTES = 1 << 20
+
 
 def numbered(df: DataFrame) -> DataFrame:
     """The same columns as ``c0, c1, ...``: safe to address whatever the real names are."""
@@ -41,6 +44,18 @@ def documents_view(df: DataFrame) -> DataFrame:
     return pick(df, doc_id="long", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of about :data:`BATCH_BYTES`, unless the session names a size itself.
+
+    By default a batch of texts has up to 10000 rows and 64 MB, which the executor and each of its
+    workers hold several times over and give back late or never. Frames are computed after they are
+    returned, so the setting stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir``.
 

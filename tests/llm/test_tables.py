@@ -218,3 +218,30 @@ def test_registered_query_matches_its_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     result = compare(spark, name, E.queries()[name], E.oracle_sql()[name], sf, duck(sf))
     assert result["ok"], result
+
+
+def test_pipeline_stages_give_workers_small_batches(spark, tmp_path, monkeypatch):
+    from sluice.llm.frames import BATCH_BYTES
+
+    rows = [(i, " ".join(f"word{(i + 1) * (k + 7) ** 2 % 9973}" for k in range(900))) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))  # 4 MB in one partition
+    plain = type(docs).mapInArrow
+
+    def bounded(self, func, *args, **kwargs):
+        def run(batches):
+            def small():
+                for batch in batches:
+                    if batch.nbytes > 2 * limit:
+                        raise ValueError(f"a batch of {batch.nbytes} bytes")
+                    yield batch
+
+            return func(small())
+
+        limit = BATCH_BYTES
+        return plain(self, run, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", bounded)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        assert stage(spark, docs, str(tmp_path)).count() >= len(rows)
